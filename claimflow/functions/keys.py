@@ -11,34 +11,27 @@ from claimflow.session import freeze
 HASH_DIGITS = 15  # hex digits of md5 kept: 60 bits, always a positive bigint
 
 
-def hash_key(*cols: Column | str, attempt: Column | None = None) -> Column:
-    """Bigint that depends on the natural key alone, so a rebuild gives the same key. NULL stays NULL.
-
-    `attempt` numbers further tries for keys whose first hash is taken (see `keyed_dimension`).
-    """
+def hash_key(*cols: Column | str) -> Column:
+    """Bigint that depends on the natural key alone, so a rebuild gives the same key. NULL stays NULL."""
     parts = [F.col(c) if isinstance(c, str) else c for c in cols]
     text = parts[0] if len(parts) == 1 else F.concat(*[p for c in parts for p in (c, F.lit("\x1f"))])
-    if attempt is not None:
-        text = F.when(attempt == 0, text).otherwise(F.concat(text, F.lit("#"), attempt.cast("string")))
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, HASH_DIGITS), 16, 10).cast("bigint")
 
 
 def keyed_dimension(dim: DataFrame, key: str, out: str) -> DataFrame:
     """Add a unique hash key to a frame with one row per natural key; the NULL row gets -1.
 
-    60 bits are not enough to rule out two of several billion keys sharing a hash. Keys that share
-    one are ranked, the least keeps the hash and the others hash again, so the key stays unique.
+    60 bits do not rule out that two of several billion keys share a hash. Keys that share one are
+    ranked: the least keeps the hash, the others add their rank in the bits above it (room for seven).
     """
     shared = Window.partitionBy("_hash").orderBy(F.col(key).asc_nulls_first())
-    ranked = dim.select(
-        "*", F.coalesce(hash_key(key), F.lit(UNKNOWN_KEY).cast("bigint")).alias("_hash")
-    ).withColumn("_rank", F.row_number().over(shared) - 1)
-    first_free = F.when(F.col("_rank") == 0, F.col("_hash")).otherwise(hash_key(key, attempt=F.col("_rank")))
-    return ranked.select(*dim.columns, first_free.alias(out))
+    hashed = dim.withColumn("_hash", F.coalesce(hash_key(key), F.lit(UNKNOWN_KEY).cast("bigint")))
+    rank = (F.row_number().over(shared) - 1).cast("bigint")
+    return hashed.select(*dim.columns, (F.col("_hash") + rank * F.lit(16**HASH_DIGITS)).alias(out))
 
 
-def rehashed_keys(dim: DataFrame, key: str, sk: str) -> DataFrame:
-    """(natural key, key) of the dimension rows that do not carry the plain hash; normally none."""
+def ranked_keys(dim: DataFrame, key: str, sk: str) -> DataFrame:
+    """(natural key, key) of the dimension rows whose key is not the plain hash; normally none."""
     return dim.where(F.col(key).isNotNull() & (F.col(sk) != hash_key(key))).select(key, sk)
 
 

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimflow.operators.project import having, null_indicator
+from claimflow.operators.project import having
 
 
 def _rows(entries: list) -> "F.Column":
@@ -24,10 +24,8 @@ def row_counts(**tables: DataFrame) -> DataFrame:
 
 def null_counts(df: DataFrame) -> DataFrame:
     """(column_name, null_count) for every column, from one pass over the table."""
-    sums = df.agg(*[
-        F.coalesce(F.sum(null_indicator(F.col(f"`{c}`"))), F.lit(0)).cast("bigint").alias(c) for c in df.columns
-    ])
-    return sums.unpivot([], df.columns, "column_name", "null_count")
+    missing = df.agg(*[F.count_if(F.col(f"`{c}`").isNull()).alias(c) for c in df.columns])
+    return missing.unpivot([], df.columns, "column_name", "null_count")
 
 
 def distinct_values(df: DataFrame, col: str) -> DataFrame:

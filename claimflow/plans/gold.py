@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimflow.functions.dates import calendar_key, date_key, date_parts, date_spine, is_weekend
-from claimflow.functions.keys import hash_key, keyed_dimension, rehashed_keys
+from claimflow.functions.keys import hash_key, keyed_dimension, ranked_keys
 from claimflow.operators.dedup import dedup_first, source_order
 from claimflow.operators.joins import join_date_role, join_dimension, orphans
 from claimflow.operators.project import rename_select
@@ -71,10 +71,10 @@ def fact_claims_lookup(
 
 
 def _derived_key(claims: DataFrame, dim: DataFrame, key: str, sk: str) -> DataFrame:
-    """The key `keyed_dimension` gave this id: its hash, unless the dimension had to hash it again."""
-    exceptions = freeze(rehashed_keys(dim, key, sk), sk).select(F.col(key).alias("_id"), F.col(sk).alias("_again"))
+    """The key `keyed_dimension` gave this id: its hash, unless another id has the same one."""
+    exceptions = freeze(ranked_keys(dim, key, sk), sk).select(F.col(key).alias("_id"), F.col(sk).alias("_ranked"))
     joined = claims.join(exceptions, F.col(key) == F.col("_id"), "left")
-    return joined.withColumn(sk, F.coalesce("_again", hash_key(key))).drop("_id", "_again")
+    return joined.withColumn(sk, F.coalesce("_ranked", hash_key(key))).drop("_id", "_ranked")
 
 
 def fact_claims(
@@ -85,7 +85,7 @@ def fact_claims(
 
     Customers and policies are taken from the claims themselves, so each id has its dimension row and
     its key follows from the id; date keys follow from the date and the calendar's bounds. What is
-    joined are the agents, of which some are missing, and the rehashed keys, which are normally none.
+    joined are the agents, of which some are missing, and the few keys that share a hash, normally none.
     Use `fact_claims_lookup` for dimensions that may lack rows.
     """
     keyed = join_dimension(claims, agents, F.col("agent_id"), "agent_id", "agent_sk")

@@ -16,7 +16,6 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
     "spark.sql.execution.arrow.pyspark.enabled": "true",

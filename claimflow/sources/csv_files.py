@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from claimflow.schemas import all_strings
+from claimflow.session import freeze
 
 SOURCE_FILE = "_source_file"
 WHOLE_FILE = str(1 << 40)
@@ -113,7 +114,7 @@ def sync_schema(spark: SparkSession, src: str, schema_dir: str) -> T.StructType:
     swapped values; it is refused. New columns are accepted at the end.
     """
     stored = load_or_infer_schema(spark, src, schema_dir)
-    headers = file_headers(spark, src)
+    headers = freeze(file_headers(spark, src), "headers")
     widest = headers.orderBy(F.desc(F.size("names"))).first()
     schema = stored
     if widest is not None and len(widest["names"]) > len(stored):
