@@ -72,8 +72,11 @@ def fact_claims_lookup(
 
 def _derived_key(claims: DataFrame, dim: DataFrame, key: str, sk: str) -> DataFrame:
     """The key `keyed_dimension` gave this id: its hash, unless another id has the same one."""
-    exceptions = freeze(ranked_keys(dim, key, sk), sk).select(F.col(key).alias("_id"), F.col(sk).alias("_ranked"))
-    joined = claims.join(exceptions, F.col(key) == F.col("_id"), "left")
+    ranked = ranked_keys(dim, key, sk)
+    if ranked.isEmpty():
+        return claims.withColumn(sk, hash_key(key))
+    few = freeze(ranked, sk).select(F.col(key).alias("_id"), F.col(sk).alias("_ranked"))
+    joined = claims.join(few, F.col(key) == F.col("_id"), "left")
     return joined.withColumn(sk, F.coalesce("_ranked", hash_key(key))).drop("_id", "_ranked")
 
 

@@ -23,7 +23,7 @@ from claimflow.streaming import dedup as stream_dedup
 from claimflow.streaming.gate import quality_gate_stream, read_gate
 from claimflow.streaming.ingest import ingest, read_bronze
 from claimflow.streaming.silver import silver_claims_stream
-from claimflow.streaming.sinks import append_sink, run_available_now, state_partitions
+from claimflow.streaming.sinks import append_sink, run_available_now, stream_state
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -47,10 +47,10 @@ def amounts_as_numbers(bronze: DataFrame) -> DataFrame:
 
 
 def through_sink(sdf: DataFrame, label: str, partitions: int | None = None) -> DataFrame:
-    """Run a stream to its end into a new table and read that."""
+    """Run a stream to its end into a new table and read that; `partitions` is for streams with state."""
     spark = sdf.sparkSession
     root = scratch_path(spark, label)
-    with state_partitions(spark, partitions):
+    with stream_state(spark, partitions):
         run_available_now(append_sink(sdf, f"{root}/table", f"{root}/checkpoint"))
     return spark.read.schema(sdf.schema).parquet(f"{root}/table")
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import csv
+import datetime as dt
+import json
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -52,9 +54,11 @@ def _first_line(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             return
 
 
-def file_headers(spark: SparkSession, src: str) -> DataFrame:
+def file_headers(spark: SparkSession, src: str, since: dt.datetime | None = None) -> DataFrame:
     """(names, file, files): each distinct header of the folder, one example file, how many have it.
 
+    `since` (in UTC) leaves out files last changed before it.
+
     One task per file, which stops after its first line, so the files are not read through. The
     settings for that live in a session of their own.
     """
@@ -62,7 +66,10 @@ def file_headers(spark: SparkSession, src: str) -> DataFrame:
     one_by_one.conf.set("spark.sql.files.maxPartitionBytes", WHOLE_FILE)
     one_by_one.conf.set("spark.sql.files.openCostInBytes", WHOLE_FILE)
     one_by_one.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
-    lines = one_by_one.read.text(src).select("value", F.col("_metadata.file_path").alias("file"))
+    reader = one_by_one.read
+    if since is not None:
+        reader = reader.option("modifiedAfter", since.strftime("%Y-%m-%dT%H:%M:%S")).option("timeZone", "UTC")
+    lines = reader.text(src).select("value", F.col("_metadata.file_path").alias("file"))
     headers = lines.mapInArrow(_first_line, "names array<string>, file string")
     return headers.groupBy("names").agg(F.min("file").alias("file"), F.count(F.lit(1)).alias("files"))
 
@@ -88,13 +95,7 @@ def load_schema(spark: SparkSession, schema_dir: str) -> T.StructType | None:
         row = spark.read.text(schema_dir, wholetext=True).first()
     except AnalysisException:
         return None
-    return T.StructType.fromJson(_json(row["value"])) if row else None
-
-
-def _json(text: str) -> dict:
-    import json
-
-    return json.loads(text)
+    return T.StructType.fromJson(json.loads(row["value"])) if row else None
 
 
 def load_or_infer_schema(spark: SparkSession, src: str, schema_dir: str, sampling: float = 1.0) -> T.StructType:
@@ -107,6 +108,13 @@ def load_or_infer_schema(spark: SparkSession, src: str, schema_dir: str, samplin
     return schema
 
 
+def check_headers(headers: DataFrame, schema: T.StructType) -> None:
+    """Raise for a header that is not the schema's columns or the first of them."""
+    wrong = headers.where(~_is_start_of(F.col("names"), schema.fieldNames())).first()
+    if wrong is not None:
+        raise HeaderMismatch(f"{wrong['file']}: {wrong['names']} does not match {schema.fieldNames()}")
+
+
 def sync_schema(spark: SparkSession, src: str, schema_dir: str) -> T.StructType:
     """Check every header of the folder against the stored schema and widen that where needed.
 
@@ -122,9 +130,7 @@ def sync_schema(spark: SparkSession, src: str, schema_dir: str) -> T.StructType:
         if incoming.fieldNames()[: len(stored)] != stored.fieldNames():
             raise HeaderMismatch(f"{widest['file']}: {widest['names']} does not continue {stored.fieldNames()}")
         schema = widen_schema(stored, incoming)
-    wrong = headers.where(~_is_start_of(F.col("names"), schema.fieldNames())).first()
-    if wrong is not None:
-        raise HeaderMismatch(f"{wrong['file']}: {wrong['names']} does not match {schema.fieldNames()}")
+    check_headers(headers, schema)
     if schema != stored:
         save_schema(spark, schema, schema_dir)
     return schema

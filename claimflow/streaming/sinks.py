@@ -7,6 +7,8 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from claimflow.session import ROCKSDB
+
 
 def run_available_now(writer: DataStreamWriter) -> StreamingQuery:
     """Process everything that is there, in as many micro-batches as it takes, then stop."""
@@ -23,18 +25,19 @@ def append_sink(sdf: DataFrame, path: str, ckpt: str) -> DataStreamWriter:
 
 
 @contextmanager
-def state_partitions(spark: SparkSession, n: int | None):
-    """Number of state partitions for streams started inside.
+def stream_state(spark: SparkSession, partitions: int | None = None):
+    """Streams started inside keep their state in RocksDB, off the heap, in `partitions` partitions.
 
-    A stream keeps the number of its first run for good, so choose it for the state to come.
+    A stream keeps both choices of its first run for good, so size it for the state to come.
     """
-    if n is None:
-        yield
-        return
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(n))
+    wanted = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB}
+    if partitions is not None:
+        wanted["spark.sql.shuffle.partitions"] = str(partitions)
+    before = {key: spark.conf.get(key) for key in wanted}
     try:
+        for key, value in wanted.items():
+            spark.conf.set(key, value)
         yield
     finally:
-        spark.conf.set(key, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
