@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 from typing import Literal
 
 from pyspark.sql import Column, DataFrame
@@ -54,8 +55,7 @@ def claim_rules(late_after: int = LATE_AFTER_DAYS) -> list[Rule]:
 
 
 def _any(rules: list[Rule], action: str) -> Column:
-    hits = [r.violated for r in rules if r.action == action]
-    return F.array_contains(F.array(*hits), True) if hits else F.lit(False)
+    return reduce(Column.__or__, [r.violated for r in rules if r.action == action], F.lit(False))
 
 
 def evaluate(df: DataFrame, rules: list[Rule]) -> DataFrame:

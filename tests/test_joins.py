@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from claimflow.operators import profiling
 from claimflow.operators.joins import join_date_role, join_dimension, orphans
 from claimflow.plans import gold
+from tests.conftest import plan_of
 
 
 def test_left_join_keeps_rows_and_null_matches_nothing(spark):
@@ -17,6 +18,26 @@ def test_left_join_keeps_rows_and_null_matches_nothing(spark):
     assert rows[0].agent_id == "a"
 
 
+def test_hot_key_of_a_lookup_is_split(spark):
+    """A third of the rows under one key: adaptive execution divides that partition among tasks."""
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB", "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    session = spark.newSession()
+    for key, value in small.items():
+        session.conf.set(key, value)
+    ids = "IF(id % 3 = 0, 'hot', CONCAT('k', id)) AS k"
+    fact = session.range(0, 60_000, numPartitions=8).selectExpr("id", ids)
+    dim = session.range(60_000).selectExpr("CONCAT('k', id) AS k", "id AS sk").unionAll(session.sql("SELECT 'hot', -5L"))
+    joined = join_dimension(fact, dim, F.col("k"), "k", "sk")
+    joined.collect()
+    assert "skew=true" in plan_of(joined)
+    assert joined.where("sk = -5").count() == 20_000 and joined.count() == 60_000
+
+
 def test_date_role_outside_the_calendar(spark):
     fact = spark.createDataFrame([(dt.date(2014, 12, 31),), (dt.date(2015, 1, 1),), (None,)], "loss_dt date")
     rows = join_date_role(fact, gold.dim_date(spark), F.col("loss_dt"), "loss").collect()

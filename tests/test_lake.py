@@ -63,6 +63,8 @@ def test_gated_run(spark, root):
     fx.raw_claims(spark, SF_DIR).write.option("header", True).csv(f"{raw}/claims")
     fx.raw_employee(spark, SF_DIR).write.option("header", True).csv(f"{raw}/employee")
     assert end_to_end.run_pipeline(spark, raw, f"{root}/lake", gated=True).count() == 2048
+    held = read_table(spark, f"{root}/lake", "silver", "quarantine_claims")
+    assert held.count() == 345 and held.where("size(reasons) = 0").isEmpty()
 
 
 def test_expected_counts(spark):
