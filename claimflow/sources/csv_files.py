@@ -6,10 +6,11 @@ import csv
 import datetime as dt
 import json
 from collections.abc import Iterator
+from urllib.parse import unquote
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,6 +18,7 @@ from claimflow.schemas import all_strings
 from claimflow.session import freeze
 
 SOURCE_FILE = "_source_file"
+PATTERN_CHARACTERS = r"[\[\]{}*?]"
 WHOLE_FILE = str(1 << 40)
 
 
@@ -33,14 +35,23 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None)
 
 
 def require_files(spark: SparkSession, src: str) -> None:
-    """Raise unless the folder holds at least one file with content."""
+    """Raise unless the folder holds at least one file with content, and names Spark can stream.
+
+    Spark's file stream takes a file name for a pattern if it can, and then reads the other files of
+    the micro-batch twice; such names are refused.
+    """
     try:
         files = spark.read.format("binaryFile").load(src).select("path", "length")
-        found = not files.where("length > 0").isEmpty()
+        found = files.agg(
+            F.count_if(F.col("length") > 0).alias("filled"),
+            F.min(F.when(F.col("path").rlike(PATTERN_CHARACTERS), F.col("path"))).alias("pattern"),
+        ).first()
     except AnalysisException as e:
         raise FileNotFoundError(f"no such landing folder: {src}") from e
-    if not found:
+    if not found["filled"]:
         raise FileNotFoundError(f"landing folder is empty: {src}")
+    if found["pattern"]:
+        raise ValueError(f"rename this file, its name reads as a pattern: {found['pattern']}")
 
 
 def _first_line(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -74,15 +85,20 @@ def file_headers(spark: SparkSession, src: str, since: dt.datetime | None = None
     return headers.groupBy("names").agg(F.min("file").alias("file"), F.count(F.lit(1)).alias("files"))
 
 
-def _is_start_of(names: F.Column, whole: list[str]) -> F.Column:
-    return names == F.slice(F.array(*[F.lit(c) for c in whole]), 1, F.size(names))
+def _lower(names: list[str]) -> list[str]:
+    return [n.lower() for n in names]
+
+
+def _is_start_of(names: Column, whole: list[str]) -> Column:
+    """Whether a header is the first of the given columns. Case does not matter, as for Spark's own check."""
+    return F.transform(names, F.lower) == F.slice(F.array(*[F.lit(c) for c in _lower(whole)]), 1, F.size(names))
 
 
 def widen_schema(stored: T.StructType, incoming: T.StructType) -> T.StructType:
     """The stored columns followed by those of the incoming schema that come after them."""
-    old, new = stored.fieldNames(), incoming.fieldNames()
-    if new[: len(old)] != old and old[: len(new)] != new:
-        raise HeaderMismatch(f"columns {new} do not continue the stored columns {old}")
+    old, new = _lower(stored.fieldNames()), _lower(incoming.fieldNames())
+    if new[: len(old)] != old:
+        raise HeaderMismatch(f"columns {incoming.fieldNames()} do not continue the stored {stored.fieldNames()}")
     return T.StructType(stored.fields + incoming.fields[len(old):])
 
 
@@ -126,20 +142,13 @@ def sync_schema(spark: SparkSession, src: str, schema_dir: str) -> T.StructType:
     widest = headers.orderBy(F.desc(F.size("names"))).first()
     schema = stored
     if widest is not None and len(widest["names"]) > len(stored):
-        incoming = read_csv(spark, _escape_glob(widest["file"])).schema
-        if incoming.fieldNames()[: len(stored)] != stored.fieldNames():
-            raise HeaderMismatch(f"{widest['file']}: {widest['names']} does not continue {stored.fieldNames()}")
-        schema = widen_schema(stored, incoming)
+        schema = widen_schema(stored, read_csv(spark, unquote(widest["file"])).schema)
     check_headers(headers, schema)
     if schema != stored:
         save_schema(spark, schema, schema_dir)
     return schema
 
 
-def _escape_glob(path: str) -> str:
-    return "".join(f"\\{ch}" if ch in "[]{}*?" else ch for ch in path)
-
-
 def schema_rows(spark: SparkSession, schema: T.StructType) -> DataFrame:
     """(ordinal, column_name, data_type) of a schema."""
     rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(schema.fields, 1)]

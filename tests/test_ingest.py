@@ -60,7 +60,7 @@ def test_schema_is_inferred_once(feed):
 def test_new_column_widens_and_old_rows_read_null(feed):
     feed.land("a.csv", "ID,N\nx,1\n")
     feed.run()
-    feed.land("b.csv", "ID,N,EXTRA\ny,2,7\n")
+    feed.land("b part (1)%.csv", "id,N,EXTRA\ny,2,7\n")
     feed.land("c.csv", "ID,N\nz,3\n")
     assert feed.run() == [("x", "1", None), ("y", "2", "7"), ("z", "3", None)]
     assert load_schema(feed.spark, feed.store).simpleString() == "struct<ID:string,N:int,EXTRA:int>"
@@ -100,6 +100,14 @@ def test_source_without_content_raises(feed, make):
         feed.run()
 
 
+@pytest.mark.parametrize("name", ["b[1].csv", "b*.csv", "{b}.csv", "b?.csv"])
+def test_file_name_that_is_a_pattern_is_refused(feed, name):
+    feed.land("a.csv", "ID,N\nx,1\n")
+    feed.land(name, "ID,N\ny,1\n")
+    with pytest.raises(ValueError, match="rename"):
+        feed.run()
+
+
 def test_missing_source_raises(feed):
     with pytest.raises(FileNotFoundError):
         csv_files.require_files(feed.spark, feed.src + "-none")

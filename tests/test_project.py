@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from claimflow.functions.dates import calendar_key, date_key, date_spine, date_spine_covering, is_weekend
 from claimflow.operators import project
+from claimflow.plans.gold import dim_date
 
 
 @pytest.mark.parametrize(
@@ -57,5 +58,15 @@ def test_calendar(spark):
     assert [(r.k, r.w, r.c) for r in rows] == [(20240302, True, 20240302), (20141231, False, None), (None, None, None)]
 
 
+def test_calendar_columns_follow_the_calendar(spark):
+    rows = dim_date(spark, "1999-12-25", "2032-03-05").collect()
+    days = [dt.date(1999, 12, 25) + dt.timedelta(n) for n in range((dt.date(2032, 3, 5) - dt.date(1999, 12, 25)).days + 1)]
+    assert sorted(map(tuple, rows)) == [
+        (d, d.year * 10000 + d.month * 100 + d.day, d.year, d.month, d.day, d.isoweekday() % 7 + 1,
+         (d.month + 2) // 3, d.isoweekday() >= 6)
+        for d in days
+    ]
+
+
 def test_spine_over_no_dates_is_empty(spark):
     assert date_spine_covering(spark.sql("SELECT CAST(NULL AS DATE) AS a"), ["a", "a"]).count() == 0
