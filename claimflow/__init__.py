@@ -1 +1,8 @@
-"""Claims lakehouse on Spark: CSV landing -> bronze -> silver -> gold star schema -> marts."""
+"""Claims lakehouse on Spark."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in Python workers travel with their code, so that executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
