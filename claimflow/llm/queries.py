@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimflow.llm import dac
+from claimflow.llm import dac, packing
 from claimflow.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,3 +45,14 @@ def op8_directly_addressable_codes(spark: SparkSession, sf_dir: str) -> DataFram
     return rows.join(starts, ["part", "segment"]).select(
         "doc_id", (F.col("start") + F.col("start_in_segment")).alias("start"), "n_tokens", "ids_crc32"
     )
+
+
+@query
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 1024 tokens: where each piece went."""
+    packed = packing.pack(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2, capacity=1024
+    )
+    return packed.select(
+        "doc_id", "piece", "start", F.col("length").cast("long").alias("length"), "ids_crc32", "sequence_id", "offset"
+    )
