@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimflow.llm import dac, packing
+from claimflow.llm import dac, mixing, packing
 from claimflow.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,3 +56,9 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select(
         "doc_id", "piece", "start", F.col("length").cast("long").alias("length"), "ids_crc32", "sequence_id", "offset"
     )
+
+
+@query
+def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources mixed to weights 1, 2, 3, ... of all words, none beyond three times its own: words taken per document."""
+    return mixing.taken_words(mixing.mix(table(spark, sf_dir, "documents"), mixing.cyclic_weight, most=3))
