@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import sys
@@ -64,6 +65,8 @@ _LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
 _PIECE = re.compile(
     f"[{_SPACE}]*[{_LETTERS}]+(?=[\\x00-@\\[-`{{-\\x7f]|\\Z)|[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+"
 )
+_BARE_PIECE = re.compile(f"[{_LETTERS}]+(?=[\\x00-@\\[-`{{-\\x7f]|\\Z)|[^{_SPACE}]+")
+_BEYOND_LATIN = re.compile("[\u0250-\U0010ffff]")
 
 
 class Encoder:
@@ -72,6 +75,7 @@ class Encoder:
     A text is cut where white space follows anything else, and where an ASCII sign follows a letter. The patterns
     of these tokenizers (runs of letters, digits or other signs, white space only in front) always start a new unit
     there and look at nothing before it. So a piece is encoded once and then looked up; ids equal those of the text.
+    Where the file itself folds case and drops white space, texts of ASCII and Latin letters are looked up that way.
     """
 
     def __init__(self, path: str, most_pieces: int = 1 << 20, longest: int = 64):
@@ -81,6 +85,19 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.most, self.longest = most_pieces, longest
         self.known: dict[str, bytes] = {}
+        spec = json.loads(self.tokenizer.to_str())
+        steps = [spec["normalizer"] or {}, *(spec["normalizer"] or {}).get("normalizers", [])]
+        split = ((spec["pre_tokenizer"] or {}).get("pretokenizers") or [{}])[0]
+        self.folds = any(s.get("type") == "Lowercase" for s in steps) and (
+            split.get("type") == "Split" and split.get("behavior") == "Removed" and split.get("invert") is True
+        )
+
+    def _cut(self, text: str | None) -> list[str]:
+        if not text:
+            return []
+        if self.folds and not _BEYOND_LATIN.search(text):
+            return _BARE_PIECE.findall(text.lower())
+        return _PIECE.findall(text)
 
     @classmethod
     def shared(cls, path: str) -> Encoder:
@@ -88,7 +105,7 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """One byte string per text; null counts as empty."""
-        cut = [_PIECE.findall(t) if t else [] for t in texts]
+        cut = [self._cut(t) for t in texts]
         if len(self.known) > self.most:
             self.known.clear()
         need = set()
