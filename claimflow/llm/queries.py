@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimflow.llm import dac, mixing, packing
+from claimflow.llm import dac, line_rules, mixing, packing
 from claimflow.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,3 +62,14 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sources mixed to weights 1, 2, 3, ... of all words, none beyond three times its own: words taken per document."""
     return mixing.taken_words(mixing.mix(table(spark, sf_dir, "documents"), mixing.cyclic_weight, most=3))
+
+
+@query
+def op3_line_first_cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of every text and the verdict of line-first cleaning."""
+    rules = line_rules.clean_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "lost_chars", "base_failed", "kept"]
+    return rules.select("doc_id", *[f"rules.{c}" for c in counts])
+
+
+SQL["op3_line_first_cleaning"] = line_rules.SQL
