@@ -222,7 +222,8 @@ def mix(
     sources = sources_of(sized.withColumnRenamed("docs_source", "source"), weight, most)
     pieces = block_pieces(streams(sized, sources, seed), block_words)
     taken = slots(spark, sources, block_words, shards, seed, most)
-    return pieces.join(taken, ["source_number", "block"], "left")
+    # The planner takes the slots for as small as the plan they are filled from; they grow with the input.
+    return pieces.join(taken.hint("merge"), ["source_number", "block"], "left")
 
 
 def taken_words(mixed: DataFrame) -> DataFrame:
