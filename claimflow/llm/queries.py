@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimflow.llm import dac, line_rules, mixing, packing
+from claimflow.llm import dac, line_join, line_rules, mixing, packing
 from claimflow.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,3 +73,10 @@ def op3_line_first_cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL["op3_line_first_cleaning"] = line_rules.SQL
+
+
+@query
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every document that have an earlier line of similarity 0.8 or more."""
+    gone = line_join.removed_lines(table(spark, sf_dir, "documents"))
+    return gone.select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), "removed")
