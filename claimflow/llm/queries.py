@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimflow.llm import dac, line_join, line_rules, mixing, packing
+from claimflow.llm import dac, line_join, line_rules, mixing, packing, shingle_join, topk
 from claimflow.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,3 +80,16 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of every document that have an earlier line of similarity 0.8 or more."""
     gone = line_join.removed_lines(table(spark, sf_dir, "documents"))
     return gone.select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), "removed")
+
+
+@query
+def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Group and number of links of every document, by 5-word shingles and a similarity of 0.8."""
+    links = shingle_join.link_documents(table(spark, sf_dir, "documents"))
+    return links.select("doc_id", "class_id", "n_links")
+
+
+@query
+def op6_norm_sorted_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 best inner products of every hundredth vector with all others."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"), k=10, every=100, scale=1024)

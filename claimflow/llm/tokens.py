@@ -8,9 +8,10 @@ import re
 import sys
 import types
 from array import array
+from collections.abc import Iterator
 
 import numpy as np
-import xxhash
+import pyarrow as pa
 
 # A word is a run of anything but the ASCII white space 0x20 and 0x09-0x0D; bytes.split() cuts at just these.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
@@ -21,21 +22,72 @@ def words_of(text: str | None) -> list[bytes]:
     return text.encode("utf-8").split() if text else []
 
 
-class WordHashes(dict):
-    """Word to 64-bit hash, remembered for at most `most` words."""
+_SPACES = np.zeros(256, bool)
+_SPACES[[0x20, *range(0x09, 0x0E)]] = True
+_BASE = 0x9E3779B97F4A7C15 | 1
+_VALUES = np.random.default_rng(20240101).integers(0, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
 
-    def __init__(self, most: int = 1 << 18):
-        super().__init__()
-        self.most = most
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.most:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse modulo 2^64, n at least."""
+    memo = worker_memo(("powers",), dict)
+    if len(memo.get("up", ())) < n:
+        size = 1 << max(20, (n - 1).bit_length())
+        for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
+            steps = np.full(size, base, np.uint64)
+            steps[0] = 1
+            memo[name] = np.cumprod(steps, dtype=np.uint64)
+    return memo["up"], memo["down"]
 
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+
+class Words:
+    """The words of some texts as arrays: `hashes` (64 bits), and the byte `starts` and `ends` in `data`.
+
+    `texts` has the place in `data` where each text starts, and the end. A word's hash is a polynomial in values of its
+    bytes, taken from running sums, so no word becomes a Python object.
+    """
+
+    def __init__(self, data: np.ndarray, texts: np.ndarray):
+        self.data, self.texts = data, texts
+        space = _SPACES[data]
+        before, after = np.empty(len(data) + 1, bool), np.empty(len(data) + 1, bool)
+        before[0] = after[-1] = True
+        before[1:], after[:-1] = space, space
+        before[texts[:-1]] = True  # a word does not go on into the next text
+        ending = np.concatenate([after[1:], [True]])[: len(data)]
+        ending[texts[(texts > 0)] - 1] = True
+        self.starts = np.flatnonzero(~space & before[:-1])
+        self.ends = np.flatnonzero(~space & ending) + 1
+        up, down = _powers(len(data) + 1)
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(_VALUES[data] * up[: len(data)], out=sums[1:])
+        h = (sums[self.ends] - sums[self.starts]) * down[self.starts]
+        h ^= h >> np.uint64(32)
+        h *= np.uint64(0xD6E8FEB86659FD93)
+        self.hashes = h ^ (h >> np.uint64(32))
+
+    def of_text(self) -> np.ndarray:
+        """Number of the text that each word is in."""
+        return np.searchsorted(self.texts, self.starts, "right") - 1
+
+    def first_words(self) -> np.ndarray:
+        """Number of the first word of each text, and the number of words."""
+        return np.searchsorted(self.starts, self.texts)
+
+
+def word_batches(column: pa.Array, most_bytes: int = 1 << 21) -> Iterator[tuple[int, int, Words]]:
+    """(first row, last row + 1, their words) of a column of texts, in portions; null counts as empty."""
+    column = column.cast(pa.large_string()).fill_null("")
+    _, offsets, data = column.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+    data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    first = 0
+    while first < len(column):
+        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + most_bytes, "right")) - 1)
+        last = min(last, len(column))
+        low, high = offsets[first], offsets[last]
+        yield first, last, Words(data[low:high], offsets[first : last + 1] - low)
+        first = last
 
 
 def shingle_hashes(words: np.ndarray, k: int) -> np.ndarray:
