@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimflow.llm import dac, line_join, line_rules, mixing, packing, shingle_join, topk
+from claimflow.llm import dac, line_join, line_rules, mixing, packing, passages, shingle_join, topk
 from claimflow.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,3 +93,9 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_norm_sorted_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 10 best inner products of every hundredth vector with all others."""
     return topk.top_k(table(spark, sf_dir, "embeddings"), k=10, every=100, scale=1024)
+
+
+@query
+def op1_chained_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fuzzy passages of 50 words or more that an earlier document has too."""
+    return passages.repeated_passages(table(spark, sf_dir, "documents"))
