@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimflow.llm import dac, line_join, line_rules, mixing, packing, passages, shingle_join, topk
+from claimflow.llm import dac, line_join, line_rules, mixing, packing, passages, revisits, shingle_join, topk
 from claimflow.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -99,3 +99,14 @@ def op6_norm_sorted_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_chained_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fuzzy passages of 50 words or more that an earlier document has too."""
     return passages.repeated_passages(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_revisit_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Revisits among captures of all pages, with the response each stands for."""
+    records = revisits.captures_of(table(spark, sf_dir, "pages"))
+    lines = F.transform("headers", lambda h: F.concat(h["key"], F.lit(": "), h["value"]))
+    return revisits.resolve_revisits(records).withColumn("headers", F.array_join(lines, "\n"))
+
+
+SQL["op2_revisit_resolution"] = revisits.SQL
