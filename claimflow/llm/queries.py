@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimflow.llm import dac, line_join, line_rules, mixing, packing, passages, revisits, shingle_join, topk
+from claimflow.llm import dac, line_join, line_rules, mixing, packing, passages, revisits, shingle_join, topk, wrappers
 from claimflow.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -110,3 +110,9 @@ def op2_revisit_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL["op2_revisit_resolution"] = revisits.SQL
+
+
+@query
+def op7_wrapper_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page, by the wrapper of its host."""
+    return wrappers.extract_main_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
