@@ -21,10 +21,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from claimflow.llm.tokens import word_batches
+
 WORDS = r"[^\x20\x09-\x0D]+"
 BUCKET_DOCS = 4096  # documents that one window orders
 CHUNK_SLOTS = 1 << 16  # slots that one row of the plan stands for
@@ -151,7 +154,7 @@ def streams(sized: DataFrame, sources: list[Source], seed: int) -> DataFrame:
         "source_number", "bucket", F.coalesce(F.sum("bucket_size").over(before), F.lit(0)).alias("before")
     )
     return inside.join(sums, ["source_number", "bucket"]).withColumn("start", F.col("before") + F.col("inside")).drop(
-        "before", "inside", "key", "text_hash"
+        "before", "inside", "key"
     )
 
 
@@ -209,7 +212,7 @@ def mix(
     """Pieces of documents with the slots that take them.
 
     Needs doc_id, text and source; other columns are not read. One row per document, block and slot that takes it:
-    (doc_id, size, source, source_number, source_size, target, bucket, nth, block, from_word, n_words, shard, pass).
+    (doc_id, text_hash, size, source, source_number, source_size, target, bucket, nth, block, from_word, n_words, shard, pass).
     (source_number, bucket, nth) tells rows of the input apart, also repeated ones. A piece that no slot takes has null
     shard and pass; a document without words (null or blank text) has one row with null block. A null source is a
     source like any other. An empty table gives no rows.
@@ -234,6 +237,50 @@ def taken_words(mixed: DataFrame) -> DataFrame:
     return per_doc.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def mixed_documents(
+    docs: DataFrame, weight: Callable[[int, str | None], float], most: float = 3, block_words: int = 128,
+    shards: int = 64, seed: int = 1,
+) -> DataFrame:
+    """The mix as documents: a row per document and pass, with all columns of `docs` and the text taken in that pass.
+
+    Words of blocks that follow each other keep the text between them; where blocks are left out, a line ends. n_chars,
+    if there is one, is counted anew. Documents of which nothing is taken have no row; equal rows of id and text share
+    their other columns.
+    """
+    mixed = mix(docs, weight, most, block_words, shards, seed).where(F.col("pass").isNotNull())
+    spans = mixed.groupBy("doc_id", "text_hash", "source_number", "bucket", "nth", "pass").agg(
+        F.array_sort(F.collect_list(F.struct("from_word", "n_words"))).alias("_spans")
+    ).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "_spans")
+    key = F.xxhash64("text")
+    known = docs.withColumn("_key", key).dropDuplicates(["doc_id", "_key"])
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_hash"))
+    joined = known.join(spans, same).select(*[F.col(f"`{c}`") for c in docs.columns], "_spans")
+    text_at = docs.columns.index("text")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            spans, texts = batch.column(batch.num_columns - 1).to_pylist(), []
+            for first, last, words in word_batches(batch.column(text_at)):
+                cuts = words.first_words()
+                for i in range(first, last):
+                    parts, at = [], cuts[i - first]
+                    for span in spans[i]:
+                        low, high = at + span["from_word"], at + span["from_word"] + span["n_words"]
+                        if parts and parts[-1][1] == low:
+                            parts[-1][1] = high
+                        else:
+                            parts.append([low, high])
+                    texts.append(b"\n".join(words.data[words.starts[a] : words.ends[b - 1]].tobytes() for a, b in parts))
+            columns = list(batch.columns[:-1])
+            columns[text_at] = pa.array([t.decode() for t in texts], pa.string())
+            yield pa.RecordBatch.from_arrays(columns, batch.schema.names[:-1])
+
+    out = joined.mapInArrow(cut, docs.schema)
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+    return out
+
+
 def cyclic_weight(number: int, _: str | None) -> float:
     """1, 2, 3, and again, by the source's place."""
     return 1.0 + number % 3

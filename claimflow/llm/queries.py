@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from claimflow.llm import dac, line_join, line_rules, mixing, packing, passages, revisits, shingle_join, topk, wrappers
 from claimflow.session import scratch_path
 
@@ -116,3 +117,13 @@ SQL["op2_revisit_resolution"] = revisits.SQL
 def op7_wrapper_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page, by the wrapper of its host."""
     return wrappers.extract_main_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus pipeline over all documents."""
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+if corpus_pipeline.ORACLE_SQL:
+    SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
