@@ -25,9 +25,9 @@ def with_text(docs: DataFrame, text, columns: list[str]) -> DataFrame:
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the line rules keep, without the lines that fail."""
-    # The condition is not deterministic to the optimiser, which would else copy all rules into the filter, over and over.
-    kept = line_rules.clean_lines(docs).where(F.when(F.rand(0) >= 0, F.col("rules.kept")))
-    return with_text(kept, F.col("rules.text"), docs.columns)
+    # Stored before it is filtered: the optimiser copies the rules' long expressions into a filter above them without end.
+    judged = freeze(line_rules.clean_lines(docs).drop("text"), "judged")
+    return with_text(judged.where("rules.kept"), F.col("rules.text"), docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
