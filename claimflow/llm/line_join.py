@@ -22,19 +22,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimflow.llm.tokens import WordHashes, words_of
+from claimflow.llm.tokens import Words, word_batches
 from claimflow.session import freeze
 
 BUCKETS = 1 << 20
 CELL = 4096  # entries in one part of a token's list, by the counts of its bucket
 SHORT_LIST, BLOCK = 64, 512  # how lists are compared in memory
-FEW = 2  # candidates per entry and list that are verified first
+FILTER_BITS = 1 << 23  # 1 MB
+FEW = 4  # candidates per entry and list that are verified first
 NUMERATOR, DENOMINATOR = 4, 5  # the threshold 0.8, in whole numbers
-LINE = "doc_id long, place long, low long, high long, size int, bits long, prefix array<long>"
+LINE = "doc_id long, place long, low long, high long, size int, bits long, more_bits long, prefix array<int>"
 SPACE = r"[\x20\x09-\x0D]+"
 
 
@@ -47,23 +47,14 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
-def token_sets(hashes: WordHashes, text: str | None) -> Iterator[tuple[int, np.ndarray]]:
-    """(line number, distinct word hashes) of the lines with words."""
-    for number, line in enumerate((text or "").split("\n")):
-        if words := set(words_of(line)):
-            yield number, hashes.of(words)
-
-
 def rarity(rows: DataFrame) -> np.ndarray:
-    """Lines per bucket of words, over all lines."""
+    """Words per bucket, over all lines."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, total = WordHashes(), np.zeros(BUCKETS, np.int64)
+        total = np.zeros(BUCKETS, np.int64)
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                sets = [s for _, s in token_sets(hashes, text)]
-                if sets:
-                    np.add.at(total, (np.concatenate(sets) % np.uint64(BUCKETS)).astype(np.int64), 1)
+            for _, _, words in word_batches(batch.column(0)):
+                total += np.bincount((words.hashes % np.uint64(BUCKETS)).astype(np.int64), minlength=BUCKETS)
         here = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(here.astype(np.int32)), pa.array(total[here])], ["bucket", "n"])
 
@@ -74,38 +65,86 @@ def rarity(rows: DataFrame) -> np.ndarray:
     return out
 
 
+def in_order(line: np.ndarray, rare: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    """Order by line, rarity and token. The sort key has 26 bits of the token; should that tie, all bits are compared."""
+    rare = np.minimum(rare, (1 << 20) - 1).astype(np.uint64)
+    if len(line) and line[-1] < 1 << 18:
+        key = line.astype(np.uint64) << np.uint64(46) | rare << np.uint64(26) | tokens >> np.uint64(38)
+        order = np.argsort(key)
+        k, t = key[order], tokens[order]
+        if not ((k[1:] == k[:-1]) & (t[1:] != t[:-1])).any():
+            return order
+    return np.lexsort((tokens, rare, line))
+
+
 def lines_of(rows: DataFrame, counts: np.ndarray) -> DataFrame:
-    """One row per line with words. `place` orders lines within an id; (low, high) is a hash of the token set."""
+    """One row per line with words. `place` orders lines within an id; (low, high) is a hash of the token set.
+
+    `prefix` has 32 bits of each token's hash, which is enough to find equal tokens; the order is by rarity and the
+    whole hash.
+    """
     shared = rows.sparkSession.sparkContext.broadcast(counts)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, rare = WordHashes(), shared.value
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int64())]
-        names = ["doc_id", "place", "low", "high", "size", "bits", "prefix"]
         for batch in batches:
-            out = []
-            for doc, key, text in zip(*(c.to_pylist() for c in batch.columns)):
-                for number, tokens in token_sets(hashes, text):
-                    tokens.sort()
-                    n = len(tokens)
-                    prefix = n - -(-NUMERATOR * n // DENOMINATOR) + 1
-                    order = np.argsort(rare[(tokens % np.uint64(BUCKETS)).astype(np.int64)], kind="stable")[:prefix]
-                    odd = np.bincount((tokens >> np.uint64(58)).astype(np.int64), minlength=64) & 1
-                    bits = int(np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")[0])
-                    digest = np.frombuffer(xxhash.xxh3_128_digest(tokens.tobytes()), "<i8").tolist()
-                    out.append((doc, (key << 32) + number, *digest, n, bits, tokens[order].view(np.int64)))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
+            docs, keys = batch.column(0), batch.column(1).to_numpy()
+            for first, last, words in word_batches(batch.column(2)):
+                if len(words.hashes):
+                    yield columns(docs.slice(first, last - first), keys[first:last], words, shared.value)
+
+    def columns(docs: pa.Array, keys: np.ndarray, words: Words, rare: np.ndarray) -> pa.RecordBatch:
+        lines = np.union1d(words.texts[:-1], np.flatnonzero(words.data == 10) + 1)
+        line = np.searchsorted(lines, words.starts, "right") - 1
+        tokens = words.hashes
+        order = in_order(line, rare[(tokens % np.uint64(BUCKETS)).astype(np.int64)], tokens)
+        line, tokens = line[order], tokens[order]
+        new = np.ones(len(line), bool)
+        new[1:] = (line[1:] != line[:-1]) | (tokens[1:] != tokens[:-1])
+        line, tokens = line[new], tokens[new]
+        starts = np.flatnonzero(np.diff(line, prepend=-1))
+        sizes = np.diff(np.append(starts, len(line)))
+        # sums of mixed hashes do not depend on the order
+        mixed = (tokens ^ (tokens >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+        low = np.add.reduceat(mixed ^ (mixed >> np.uint64(29)), starts)
+        mixed = (tokens ^ (tokens >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        high = np.add.reduceat(mixed ^ (mixed >> np.uint64(32)), starts)
+        bit, half = np.uint64(1) << (tokens >> np.uint64(58)), (tokens >> np.uint64(57)) & np.uint64(1)
+        bits, more_bits = (np.bitwise_xor.reduceat(bit * x, starts) for x in (half, np.uint64(1) - half))
+        prefix = sizes + (-NUMERATOR * sizes // DENOMINATOR) + 1
+        chosen = np.arange(len(tokens)) - np.repeat(starts, sizes) < np.repeat(prefix, sizes)
+        ends = np.concatenate([[0], np.cumsum(prefix)]).astype(np.int32)
+        here = line[starts]
+        text = np.searchsorted(words.texts, lines[here], "right") - 1
+        number = here - np.searchsorted(lines, words.texts[text])
+        return pa.RecordBatch.from_arrays([
+            docs.take(pa.array(text)), pa.array((keys[text] << 32) + number), pa.array(low.view(np.int64)),
+            pa.array(high.view(np.int64)), pa.array(sizes.astype(np.int32)), pa.array(bits.view(np.int64)),
+            pa.array(more_bits.view(np.int64)),
+            pa.ListArray.from_arrays(pa.array(ends), pa.array(tokens[chosen].astype(np.uint32).view(np.int32))),
+        ], ["doc_id", "place", "low", "high", "size", "bits", "more_bits", "prefix"])
 
     return rows.select("doc_id", "hash", "text").mapInArrow(make, LINE)
 
 
 ENTRY = np.dtype([
-    ("token", "<i8"), ("doc", "<i8"), ("place", "<i8"), ("bits", "<u8"), ("size", "<i4"), ("position", "<i4"),
+    ("token", "<u4"), ("doc", "<i8"), ("place", "<i8"), ("bits", "<u8"), ("more_bits", "<u8"), ("size", "<i4"), ("position", "<i4"),
     ("cell", "<i4"), ("probe", "u1"), ("null", "u1"),
 ])
 
 
+def by_column(entries: np.ndarray) -> bytes:
+    """The entries one field after the other, which packs better."""
+    return b"".join(entries[name].tobytes() for name in ENTRY.names)
+
+
+def from_columns(packed: bytes) -> np.ndarray:
+    out, at = np.empty(len(packed) // ENTRY.itemsize, ENTRY), 0
+    for name in ENTRY.names:
+        out[name] = np.frombuffer(packed, ENTRY[name], len(out), at)
+        at += len(out) * ENTRY[name].itemsize
+    return out
+
+
 def prefix_counts(classes: DataFrame) -> np.ndarray:
     """Prefix entries of all classes per bucket of tokens: how long the lists are at most."""
     bucket = F.col("token").bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
@@ -121,7 +160,7 @@ def cells_of(token: np.ndarray, doc: np.ndarray, place: np.ndarray, listed: np.n
     A long list is split into parts by a hash of the class; a cell takes two parts, or one with itself, so that each
     pair of entries still meets and no cell is large.
     """
-    parts = np.maximum(1, -(-listed[(token.view(np.uint64) % np.uint64(BUCKETS)).astype(np.int64)] // CELL))
+    parts = np.maximum(1, -(-listed[(token % np.uint32(BUCKETS)).astype(np.int64)] // CELL))
     mixed = (doc.view(np.uint64) ^ place.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xBF58476D1CE4E5B9)
     own = (mixed >> np.uint64(33)).astype(np.int64) % parts
     index = np.repeat(np.arange(len(token)), parts)
@@ -130,12 +169,13 @@ def cells_of(token: np.ndarray, doc: np.ndarray, place: np.ndarray, listed: np.n
     return index, (low * parts[index] + high).astype(np.int32)
 
 
-def packed_entries(classes: DataFrame, listed: np.ndarray, targets: int) -> DataFrame:
+def packed_entries(classes: DataFrame, listed: np.ndarray, targets: int, asked: np.ndarray | None) -> DataFrame:
     """(target, entries): each task's prefix entries as one binary row per target partition.
 
-    `probe` marks the classes that look for a partner; the others are only found.
+    `probe` marks the classes that look for a partner; the others are only found. `asked` is a bit set of the tokens
+    that the probes have; entries of others are left out.
     """
-    shared = classes.sparkSession.sparkContext.broadcast(listed)
+    shared = classes.sparkSession.sparkContext.broadcast((listed, asked))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -145,30 +185,39 @@ def packed_entries(classes: DataFrame, listed: np.ndarray, targets: int) -> Data
             prefix = column["prefix"]
             lengths = prefix.value_lengths().to_numpy()
             row = np.repeat(np.arange(batch.num_rows), lengths)
-            token = prefix.flatten().to_numpy()
+            token = prefix.flatten().to_numpy().view(np.uint32)
             null = column["doc_id"].is_null().to_numpy(zero_copy_only=False)
             doc = column["doc_id"].fill_null(0).to_numpy()
             place = column["place"].to_numpy()
-            index, cell = cells_of(token, doc[row], place[row], shared.value)
+            counts, asked_tokens = shared.value
+            position = np.arange(len(token)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+            if asked_tokens is not None:
+                bit = token % np.uint32(FILTER_BITS)
+                some = np.flatnonzero(asked_tokens[bit >> 3] >> (7 - (bit & 7)).astype(np.uint8) & 1)
+                row, token, position = row[some], token[some], position[some]
+            if not len(token):
+                continue
+            index, cell = cells_of(token, doc[row], place[row], counts)
             row = row[index]
             out = np.empty(len(index), ENTRY)
             out["token"], out["doc"], out["place"], out["cell"] = token[index], doc[row], place[row], cell
-            out["bits"] = column["bits"].to_numpy().view(np.uint64)[row]
+            for name in ("bits", "more_bits"):
+                out[name] = column[name].to_numpy().view(np.uint64)[row]
             out["size"] = column["size"].to_numpy()[row]
-            out["position"] = (np.arange(len(token)) - np.repeat(np.cumsum(lengths) - lengths, lengths))[index]
+            out["position"] = position[index]
             out["probe"] = column["probe"].to_numpy(zero_copy_only=False)[row]
             out["null"] = null[row]
-            spread = (out["token"].view(np.uint64) + out["cell"].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+            spread = (out["token"].astype(np.uint64) + out["cell"].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
             target = ((spread >> np.uint64(32)) % np.uint64(targets)).astype(np.int32)
             order = np.argsort(target, kind="stable")
             out, target = out[order], target[order]
             cuts = np.flatnonzero(np.diff(target, prepend=-1))
             ends = np.append(cuts[1:], len(target))
             yield pa.RecordBatch.from_arrays([
-                pa.array(target[cuts]), pa.array([out[a:b].tobytes() for a, b in zip(cuts, ends)], pa.large_binary())
+                pa.array(target[cuts]), pa.array([by_column(out[a:b]) for a, b in zip(cuts, ends)], pa.large_binary())
             ], ["target", "entries"])
 
-    columns = ["prefix", "size", "bits", "probe", F.col("head.doc_id").alias("doc_id"), F.col("head.place").alias("place")]
+    columns = ["prefix", "size", "bits", "more_bits", "probe", F.col("head.doc_id").alias("doc_id"), F.col("head.place").alias("place")]
     return classes.select(*columns).mapInArrow(pack, "target int, entries binary")
 
 
@@ -179,7 +228,7 @@ def passes(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     left = np.minimum(a["size"] - a["position"], b["size"] - b["position"]) + np.minimum(a["position"], b["position"])
     # similar sets share at least 4/9 of the sum of their sizes, so they differ in at most 1/9 of it
     whole = NUMERATOR + DENOMINATOR
-    differ = np.bitwise_count(a["bits"] ^ b["bits"])
+    differ = np.bitwise_count(a["bits"] ^ b["bits"]) + np.bitwise_count(a["more_bits"] ^ b["more_bits"])
     ok = (DENOMINATOR * low >= NUMERATOR * high) & (whole * left >= NUMERATOR * total)
     return ok & (whole * differ.astype(np.int32) <= (DENOMINATOR - NUMERATOR) * total) & (a["probe"] > 0)
 
@@ -222,12 +271,22 @@ def pairs_in(entries: np.ndarray, most: int | None) -> Iterator[tuple[np.ndarray
                 yield some[i], others[j]
 
 
-def candidates(classes: DataFrame, listed: np.ndarray, most: int | None) -> DataFrame:
+def tokens_asked(probes: DataFrame) -> np.ndarray:
+    bit = F.col("token").bitwiseAND(F.lit(FILTER_BITS - 1)).alias("bit")
+    marks = np.zeros(FILTER_BITS, bool)
+    found = probes.where("probe").select(F.explode("prefix").alias("token")).select(bit).distinct().toArrow()
+    marks[found.column("bit").to_numpy()] = True
+    return np.packbits(marks)
+
+
+def candidates(
+    classes: DataFrame, listed: np.ndarray, most: int | None, asked: np.ndarray | None = None
+) -> DataFrame:
     """(later, earlier): heads of classes that share a prefix token and pass the filters; later ones are probes."""
     targets = max(1, int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
     def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [np.frombuffer(x, ENTRY) for batch in batches for x in batch.column(1).to_pylist()]
+        parts = [from_columns(x) for batch in batches for x in batch.column(1).to_pylist()]
         if not parts:
             return
         names = ["later_null", "later_doc", "later_place", "null", "doc", "place"]
@@ -239,7 +298,7 @@ def candidates(classes: DataFrame, listed: np.ndarray, most: int | None) -> Data
             out = np.unique(np.concatenate(seen), axis=0)
             yield pa.RecordBatch.from_arrays([pa.array(out[:, i]) for i in range(6)], names)
 
-    packed = packed_entries(classes, listed, targets).repartition(targets, "target")
+    packed = packed_entries(classes, listed, targets, asked).repartition(targets, "target")
     pairs = packed.mapInArrow(
         pair, "later_null long, later_doc long, later_place long, null long, doc long, place long"
     ).distinct()
@@ -251,16 +310,39 @@ def candidates(classes: DataFrame, listed: np.ndarray, most: int | None) -> Data
     return pairs.select(head("later_").alias("later"), head("").alias("earlier"))
 
 
+def possible(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows that may be among the wanted (doc_id, hash), by a bit set of fixed size; few others pass while it is sparse."""
+    spark, bit = rows.sparkSession, F.pmod(F.xxhash64("doc_id", "hash"), F.lit(FILTER_BITS)).cast("int")
+    marks = np.zeros(FILTER_BITS, bool)
+    marks[wanted.select(bit.alias("bit")).distinct().toArrow().column("bit").to_numpy()] = True
+    shared = spark.sparkContext.broadcast(np.packbits(marks))
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.column(0).to_numpy()
+            found = shared.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1
+            yield pa.RecordBatch.from_arrays(batch.columns[1:], batch.schema.names[1:]).filter(pa.array(found == 1))
+
+    return rows.select(bit.alias("bit"), "doc_id", "hash", "text").mapInArrow(keep, "doc_id long, hash long, text string")
+
+
 def verified(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     """The pairs whose token sets are similar, by the words of the lines."""
     heads = pairs.select(F.explode(F.array("later", "earlier")).alias("head")).distinct()
-    per_doc = heads.groupBy(
+    per_doc = freeze(heads.groupBy(
         F.col("head.doc_id").alias("doc_id"), F.shiftright("head.place", 32).alias("hash")
-    ).agg(F.collect_list("head").alias("heads"))
+    ).agg(F.collect_list("head").alias("heads")), "line-heads")
+    rows = possible(rows, per_doc)
     same = rows["doc_id"].eqNullSafe(per_doc["doc_id"]) & (rows["hash"] == per_doc["hash"])
-    lines = rows.join(per_doc, same).select(F.split("text", "\n").alias("lines"), F.explode("heads").alias("head"))
-    number = F.col("head.place").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")
-    words = F.array_distinct(F.filter(F.split(F.get("lines", number), SPACE), lambda w: w != ""))
+    lines = rows.join(per_doc, same).select("heads", F.split("text", "\n").alias("lines"))
+
+    def with_line(head: Column) -> Column:
+        number = head["place"].bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")
+        return F.struct(head.alias("head"), F.get("lines", number).alias("line"))
+
+    # cut out before the rows are multiplied, so that no text is
+    lines = lines.select(F.transform("heads", with_line).alias("wanted")).select(F.inline("wanted"))
+    words = F.array_distinct(F.filter(F.split("line", SPACE), lambda w: w != ""))
     sets = lines.select("head", words.alias("words")).dropDuplicates(["head"])
     a = sets.select(F.col("head").alias("later"), F.col("words").alias("a"))
     b = sets.select(F.col("head").alias("earlier"), F.col("words").alias("b"))
@@ -284,7 +366,7 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     classes = freeze(
         lines.groupBy("low", "high").agg(
             F.min(head).alias("head"), F.first("size").alias("size"), F.first("bits").alias("bits"),
-            F.first("prefix").alias("prefix"),
+            F.first("more_bits").alias("more_bits"), F.first("prefix").alias("prefix"),
         ),
         "line-classes",
     )
@@ -296,7 +378,9 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     if not still.isEmpty():
         probes = classes.join(still.withColumn("probe", F.lit(True)), classes["head"] == still["later"], "left")
         probes = probes.drop("later").withColumn("probe", F.coalesce("probe", F.lit(False)))
-        found = found.union(verified(candidates(probes, listed, None), rows).select("later")).distinct()
+        found = found.union(
+            verified(freeze(candidates(probes, listed, None, tokens_asked(probes)), "line-pairs"), rows).select("later")
+        ).distinct()
     gone = found.withColumn("gone", F.lit(True))
 
     verdicts = classes.join(gone, classes["head"] == gone["later"], "left").select(

@@ -75,7 +75,7 @@ class Words:
         return np.searchsorted(self.starts, self.texts)
 
 
-def word_batches(column: pa.Array, most_bytes: int = 1 << 21) -> Iterator[tuple[int, int, Words]]:
+def word_batches(column: pa.Array, most_bytes: int = 1 << 20) -> Iterator[tuple[int, int, Words]]:
     """(first row, last row + 1, their words) of a column of texts, in portions; null counts as empty."""
     column = column.cast(pa.large_string()).fill_null("")
     _, offsets, data = column.buffers()
