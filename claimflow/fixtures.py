@@ -166,7 +166,7 @@ def stream_of(layer, spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     """One of the layers above as a stream over its files."""
     layer(spark, sf_dir)
     path, schema = _once(spark, sf_dir, layer.__name__, None)
-    return spark.readStream.schema(schema).options(**options).parquet(path)
+    return spark.readStream.schema(schema).option("maxFileAge", "36500d").options(**options).parquet(path)
 
 
 def landing(spark: SparkSession, sf_dir: str) -> dict[str, str]:

@@ -69,11 +69,11 @@ def group_counts(df: DataFrame, key: str, cols: list[str]) -> DataFrame:
 
 
 def inconsistent_keys(df: DataFrame, key: str, cols: list[str]) -> DataFrame:
-    """(key, column_name) where a key carries more than one distinct value of the column.
+    """(key, column_name) where a key carries more than one distinct value of the column; NULL is a key too.
 
     Least and greatest value differ exactly then, which needs no distinct aggregate per column.
     """
-    ends = df.where(F.col(key).isNotNull()).groupBy(key).agg(
+    ends = df.groupBy(key).agg(
         *[f(F.col(c)).alias(f"_{f.__name__}_{c}") for c in cols for f in (F.min, F.max)]
     )
     long = ends.select(key, _rows([

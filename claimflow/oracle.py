@@ -175,7 +175,7 @@ def oracle_sql() -> dict[str, str]:
         for c in DEMOGRAPHIC_COLUMNS
     )
     inconsistent = " UNION ALL ".join(
-        f"SELECT CUSTOMER_ID, '{c}' AS column_name FROM claims WHERE CUSTOMER_ID IS NOT NULL "
+        f"SELECT CUSTOMER_ID, '{c}' AS column_name FROM claims "
         f"GROUP BY CUSTOMER_ID HAVING count(DISTINCT {c}) > 1"
         for c in DEMOGRAPHIC_COLUMNS
     )
@@ -261,7 +261,7 @@ UNION ALL SELECT 'employee', count(*) FROM employee""",
         "claim_status_distribution": distribution.format(raw=RAW, c="CLAIM_STATUS"),
         "incident_severity_distribution": distribution.format(raw=RAW, c="INCIDENT_SEVERITY"),
         "incident_hour_distribution": distribution.format(raw=RAW, c="INCIDENT_HOUR_OF_THE_DAY")
-        + " ORDER BY TRY_CAST(INCIDENT_HOUR_OF_THE_DAY AS INTEGER) ASC NULLS FIRST LIMIT 24",
+        + " ORDER BY TRY_CAST(INCIDENT_HOUR_OF_THE_DAY AS INTEGER) ASC NULLS FIRST",
         "distinct_agents": f"{RAW} SELECT count(*) AS distinct_count FROM (SELECT DISTINCT AGENT_ID FROM claims)",
         "demographic_null_profile": f"{RAW} {demographics}",
         "demographic_group_counts": f"{RAW} {group_counts}",
@@ -302,7 +302,7 @@ FROM ({_days(day_bounds.format('CAST(txn_date_time AS DATE)', 'loss_dt', 'report
         "fact_claims_gated": f"{MART} SELECT * FROM fact",
         "scd1_upsert": f"""{SILVER} SELECT {_CUSTOMER}, txn_date_time, transaction_id FROM (
   SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY txn_date_time DESC NULLS LAST, transaction_id DESC) AS rn
-  FROM silver WHERE customer_id IS NOT NULL) WHERE rn = 1""",
+  FROM silver) WHERE rn = 1""",
         "star_integrity": f"""{FACT} SELECT 'fact_rows' AS check_name, count(*) AS row_count FROM fact
 UNION ALL SELECT 'silver_rows', count(*) FROM silver
 UNION ALL SELECT 'duplicate_agent_sk', count(*) - count(DISTINCT agent_sk) FROM dim_agent
@@ -322,7 +322,7 @@ SELECT p.insurance_type, {_loss_ratio('premium_amount')}
 FROM per_policy f LEFT JOIN dim_policy p ON f.policy_sk = p.policy_sk GROUP BY p.insurance_type""",
         "agent_claim_volume": f"""{MART} SELECT coalesce(a.agent_id, 'UNMATCHED') AS agent_id, a.agent_name,
   count(*) AS claim_count, {_money('claim_amount')} AS total_claim_amount
-FROM fact f LEFT JOIN dim_agent a ON f.agent_sk = a.agent_sk GROUP BY 1, 2 ORDER BY claim_count DESC, 1 LIMIT 20""",
+FROM fact f LEFT JOIN dim_agent a ON f.agent_sk = a.agent_sk GROUP BY 1, 2""",
         "claims_by_loss_month": f"""{MART} SELECT d.year, d.quarter, d.month, count(*) AS claim_count,
   {_money('claim_amount')} AS total_claim_amount
 FROM fact f LEFT JOIN dim_date d ON f.loss_date_sk = d.date_sk GROUP BY 1, 2, 3""",

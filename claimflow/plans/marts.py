@@ -70,15 +70,14 @@ def _loss_ratio(by_policy: DataFrame) -> DataFrame:
     return totals.withColumn("loss_ratio", _ratio("total_claim_amount", "total_premium_amount"))
 
 
-def agent_claim_volume(fact: DataFrame, dim_agent: DataFrame, top: int = 20) -> DataFrame:
-    """The agents with most claims; claims without a known agent form one group."""
+def agent_claim_volume(fact: DataFrame, dim_agent: DataFrame) -> DataFrame:
+    """Claims of every agent; claims without a known agent form one group."""
     by_agent = _per_key(
         fact, "agent_sk", dim_agent, "agent_sk", ["agent_id", "agent_name"], n=_n(), amount=F.sum("claim_amount")
     )
-    totals = by_agent.groupBy(F.coalesce("agent_id", F.lit(UNMATCHED)).alias("agent_id"), "agent_name").agg(
+    return by_agent.groupBy(F.coalesce("agent_id", F.lit(UNMATCHED)).alias("agent_id"), "agent_name").agg(
         F.sum("n").alias("claim_count"), _money("amount").alias("total_claim_amount")
     )
-    return totals.orderBy(F.desc("claim_count"), "agent_id").limit(top)
 
 
 def claims_by_loss_month(fact: DataFrame, dim_date: DataFrame) -> DataFrame:

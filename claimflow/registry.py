@@ -292,7 +292,7 @@ def dedup_claims_deterministic(spark, sf):
 def stream_dedup_bounded(spark, sf):
     """The event feed delivered twice; the delay covers the feed's whole span."""
     schema = fx.table(spark, sf, "events").schema
-    feeds = [spark.readStream.schema(schema).parquet(f"{sf}/events.parquet*") for _ in range(2)]
+    feeds = [spark.readStream.schema(schema).option("maxFileAge", "36500d").parquet(f"{sf}/events.parque[t]") for _ in range(2)]
     twice = feeds[0].unionAll(feeds[1])
     timed = twice.select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type", "value")
     once = stream_dedup.dedup_stream_bounded(timed, ["event_id"], "ts", "60 days")
@@ -384,7 +384,7 @@ def incident_severity_distribution(spark, sf):
 def incident_hour_distribution(spark, sf):
     hour = F.col("INCIDENT_HOUR_OF_THE_DAY")
     return profiling.value_distribution(
-        fx.raw_claims(spark, sf), "INCIDENT_HOUR_OF_THE_DAY", order=hour.try_cast("int").asc_nulls_first(), limit=24
+        fx.raw_claims(spark, sf), "INCIDENT_HOUR_OF_THE_DAY", order=hour.try_cast("int").asc_nulls_first()
     )
 
 
@@ -538,7 +538,7 @@ def fact_claims_gated(spark, sf):
 def scd1_upsert(spark, sf):
     """Customers as of the claims before 2018, brought up to date with the claims since."""
     order = ["txn_date_time", "transaction_id"]
-    rows = fx.silver_claims(spark, sf).select(*CUSTOMER_ATTRIBUTES, *order).where("customer_id is not null")
+    rows = fx.silver_claims(spark, sf).select(*CUSTOMER_ATTRIBUTES, *order)
     before = F.coalesce(F.col("txn_date_time") < F.to_timestamp(F.lit("2018-01-01 00:00:00")), F.lit(True))
     return local_times(scd.scd1_upsert(rows.where(before), rows.where(~before), "customer_id", order))
 

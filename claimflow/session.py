@@ -21,10 +21,8 @@ SETTINGS = {
     "spark.ui.enabled": "false",
 }
 
-# A reducer of 512 MB sorts in executor memory or spills once; 50,000 reducers keep the
-# number of shuffle blocks (mappers x reducers) manageable at 100 TB.
+# A reducer of 512 MB sorts in executor memory or spills once.
 SHUFFLE_TARGET_BYTES = 512 << 20
-MAX_SHUFFLE_PARTITIONS = 50_000
 
 
 def build_session(app: str = "claimflow", master: str | None = None, **conf: str) -> SparkSession:
@@ -44,7 +42,7 @@ def stored_bytes(spark: SparkSession, *paths: str) -> int:
 
 
 def shuffle_partitions_for(n_bytes: int, at_least: int = 1) -> int:
-    return max(at_least, min(MAX_SHUFFLE_PARTITIONS, math.ceil(n_bytes / SHUFFLE_TARGET_BYTES)))
+    return max(at_least, math.ceil(n_bytes / SHUFFLE_TARGET_BYTES))
 
 
 def fit_shuffle(spark: SparkSession, *paths: str) -> int:

@@ -10,7 +10,7 @@ import pytest
 from claimflow import fixtures as fx
 from claimflow.plans import end_to_end
 from claimflow.registry import QUERIES
-from claimflow.session import MAX_SHUFFLE_PARTITIONS, shuffle_partitions_for
+from claimflow.session import SHUFFLE_TARGET_BYTES, shuffle_partitions_for
 from claimflow.sources.tables import publish, read_table, read_table_stream, run_sql
 from tests.conftest import plan_of
 
@@ -73,7 +73,7 @@ def test_expected_counts(spark):
     assert (fx.dim_customer(spark, SF_DIR).count(), fx.dim_policy(spark, SF_DIR).count()) == (149, 1472)
     assert fx.dim_date(spark, SF_DIR).count() == 4748
     assert QUERIES["quarantine_claims"](spark, SF_DIR).count() == 345
-    assert QUERIES["demographic_inconsistencies"](spark, SF_DIR).where("column_name = 'MARITAL_STATUS'").count() == 143
+    assert QUERIES["demographic_inconsistencies"](spark, SF_DIR).where("column_name = 'MARITAL_STATUS'").count() == 144
 
 
 BATCH = [n for n in QUERIES if not n.startswith(("stream_", "bronze_", "lakehouse_"))]
@@ -101,7 +101,7 @@ def test_fact_moves_no_claims(spark):
 
 def test_shuffle_sizing():
     assert shuffle_partitions_for(0, at_least=8) == 8
-    assert shuffle_partitions_for(100 << 40) == MAX_SHUFFLE_PARTITIONS
+    assert shuffle_partitions_for(100 << 40) == (100 << 40) // SHUFFLE_TARGET_BYTES
     assert shuffle_partitions_for(1 << 40) == 2048
 
 
