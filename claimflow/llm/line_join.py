@@ -12,8 +12,8 @@ document id (null first), a hash of the text, and their number. The steps:
    Tasks exchange their prefix entries as packed arrays, one row per target, and compare whole lists in memory. The list
    of a frequent token is split into parts that meet two by two, so a cell has a bounded size.
 4. A line needs one earlier match only. So of the pairs that pass, the earliest few per token are verified, on the words
-   themselves; a group of many variants is not paired out. Lines whose few candidates all fail are verified against
-   every other one.
+   themselves; a group of many variants is not paired out. Lines that had more, and whose few all fail, are verified
+   against every other one.
 """
 
 from __future__ import annotations
@@ -221,54 +221,71 @@ def packed_entries(classes: DataFrame, listed: np.ndarray, targets: int, asked:
     return classes.select(*columns).mapInArrow(pack, "target int, entries binary")
 
 
-def passes(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Length, positional and bitmap filters for entries with one token, the later class first."""
-    total = a["size"] + b["size"]
-    low, high = np.minimum(a["size"], b["size"]), np.maximum(a["size"], b["size"])
-    left = np.minimum(a["size"] - a["position"], b["size"] - b["position"]) + np.minimum(a["position"], b["position"])
-    # similar sets share at least 4/9 of the sum of their sizes, so they differ in at most 1/9 of it
-    whole = NUMERATOR + DENOMINATOR
-    differ = np.bitwise_count(a["bits"] ^ b["bits"]) + np.bitwise_count(a["more_bits"] ^ b["more_bits"])
-    ok = (DENOMINATOR * low >= NUMERATOR * high) & (whole * left >= NUMERATOR * total)
-    return ok & (whole * differ.astype(np.int32) <= (DENOMINATOR - NUMERATOR) * total) & (a["probe"] > 0)
+class Filters:
+    """Length, positional and bitmap filters on pairs of entries, on columns, the cheapest first."""
 
+    def __init__(self, e: np.ndarray):
+        self.size, self.left = e["size"].copy(), e["size"] - e["position"]
+        self.bits, self.more_bits, self.probe = e["bits"].copy(), e["more_bits"].copy(), e["probe"] > 0
 
-def pairs_in(entries: np.ndarray, most: int | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Candidates among the entries, later and earlier: with `most`, only the earliest so many per entry and list."""
-    order = np.lexsort((entries["place"], entries["doc"], 1 - entries["null"], entries["cell"], entries["token"]))
-    e = entries[order]
+    def passing(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Which of the pairs pass; a has the later classes."""
+        x, y = self.size[a], self.size[b]
+        left = np.minimum(self.left[a], self.left[b])
+        # Similar sets share at least 4/9 of the sum of their sizes, and all of it from their first common token on.
+        whole, total = NUMERATOR + DENOMINATOR, x + y
+        ok = (DENOMINATOR * np.minimum(x, y) >= NUMERATOR * np.maximum(x, y)) & (whole * left >= NUMERATOR * total)
+        some = np.flatnonzero(ok & self.probe[a])
+        a, b, total = a[some], b[some], total[some]
+        # so they differ in at most 1/9 of that sum
+        differ = np.bitwise_count(self.bits[a] ^ self.bits[b]).astype(np.int32)
+        differ += np.bitwise_count(self.more_bits[a] ^ self.more_bits[b])
+        return some[whole * differ <= (DENOMINATOR - NUMERATOR) * total]
+
+
+def pairs_in(entries: np.ndarray, most: int | None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Candidates among the entries: later, earlier, and whether more of the later one's list may have been left out.
+
+    With `most`, only the earliest so many per entry and list are given.
+    """
+    listed = entries["token"].astype(np.uint64) << np.uint64(32) | entries["cell"].astype(np.uint64)
+    nulls = [1 - entries["null"]] if entries["null"].any() else []
+    e = entries[np.lexsort((entries["place"], entries["doc"], *nulls, listed))]
+    filters = Filters(e)
     new = np.empty(len(e), bool)
     new[:1] = True
     new[1:] = (e["token"][1:] != e["token"][:-1]) | (e["cell"][1:] != e["cell"][:-1])
     starts = np.flatnonzero(new)
     lengths = np.diff(np.append(starts, len(e)))
     offset = np.arange(len(e)) - np.repeat(starts, lengths)  # place in the list
-    found = np.zeros(len(e), np.int32)
-    length_of = np.repeat(lengths, lengths)
-    later = np.flatnonzero((length_of <= SHORT_LIST) & (offset > 0))
+    found = np.zeros(len(e), np.int64)
+    limit = len(e) if most is None else most
+    later = np.flatnonzero((np.repeat(lengths, lengths) <= SHORT_LIST) & (offset > 0))
     n = 0  # the earlier entry's place in its list
     while len(later):
         earlier = later - offset[later] + n
-        ok = passes(e[later], e[earlier])
-        yield e[later[ok]], e[earlier[ok]]
-        found[later[ok]] += 1
+        ok = filters.passing(later, earlier)
+        hit = later[ok]
+        found[hit] += 1
+        yield e[hit], e[earlier[ok]], found[hit] >= limit
         n += 1
-        later = later[(offset[later] > n) & (True if most is None else found[later] < most)]
+        later = later[(offset[later] > n) & (found[later] < limit)]
     for start, length in zip(starts[lengths > SHORT_LIST], lengths[lengths > SHORT_LIST]):
-        part = e[start : start + length]
         for at in range(0, length, BLOCK):
-            some = part[at : at + BLOCK]
-            had = np.zeros(len(some), np.int32)
+            some = np.arange(at, min(at + BLOCK, length))
             for to in range(0, at + len(some), BLOCK):
-                others = part[to : min(to + BLOCK, length)]
-                ok = passes(some[:, None], others[None, :])
+                some = some[found[start + some] < limit]
+                others = np.arange(to, min(to + BLOCK, length))
+                i, j = (x.ravel() for x in np.meshgrid(some + start, others + start, indexing="ij"))
                 if to == at:
-                    ok &= np.arange(len(others))[None, :] < np.arange(len(some))[:, None]
-                if most is not None:
-                    ok &= np.cumsum(ok, axis=1) + had[:, None] <= most
-                    had += ok.sum(1)
-                i, j = np.nonzero(ok)
-                yield some[i], others[j]
+                    i, j = i[j < i], j[j < i]
+                ok = filters.passing(i, j)
+                i, j = i[ok], j[ok]
+                ends = np.searchsorted(i, i, "left")  # where each one's candidates begin
+                rank = found[i] + np.arange(len(i)) - ends + 1
+                i, j, rank = i[rank <= limit], j[rank <= limit], rank[rank <= limit]
+                found[start : start + length] += np.bincount(i - start, minlength=length)
+                yield e[i], e[j], rank >= limit
 
 
 def tokens_asked(probes: DataFrame) -> np.ndarray:
@@ -282,32 +299,35 @@ def tokens_asked(probes: DataFrame) -> np.ndarray:
 def candidates(
     classes: DataFrame, listed: np.ndarray, most: int | None, asked: np.ndarray | None = None
 ) -> DataFrame:
-    """(later, earlier): heads of classes that share a prefix token and pass the filters; later ones are probes."""
+    """(later, earlier, cut): heads of classes that share a prefix token and pass the filters; later ones are probes.
+
+    `cut` tells that the later one may have more candidates than are given.
+    """
     targets = max(1, int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
     def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = [from_columns(x) for batch in batches for x in batch.column(1).to_pylist()]
         if not parts:
             return
-        names = ["later_null", "later_doc", "later_place", "null", "doc", "place"]
+        names = ["later_null", "later_doc", "later_place", "null", "doc", "place", "cut"]
         seen: list[np.ndarray] = []
-        for a, b in pairs_in(np.concatenate(parts), most):
+        for a, b, cut in pairs_in(np.concatenate(parts), most):
             if len(a):
-                seen.append(np.stack([x[k].astype(np.int64) for x in (a, b) for k in ("null", "doc", "place")], 1))
+                columns = [x[k].astype(np.int64) for x in (a, b) for k in ("null", "doc", "place")]
+                seen.append(np.stack([*columns, cut.astype(np.int64)], 1))
         if seen:
             out = np.unique(np.concatenate(seen), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(out[:, i]) for i in range(6)], names)
+            yield pa.RecordBatch.from_arrays([pa.array(out[:, i]) for i in range(7)], names)
 
     packed = packed_entries(classes, listed, targets, asked).repartition(targets, "target")
-    pairs = packed.mapInArrow(
-        pair, "later_null long, later_doc long, later_place long, null long, doc long, place long"
-    ).distinct()
+    key = ["later_null", "later_doc", "later_place", "null", "doc", "place"]
+    pairs = packed.mapInArrow(pair, ", ".join(f"{c} long" for c in [*key, "cut"])).groupBy(*key).agg(F.max("cut").alias("cut"))
 
     def head(prefix: str) -> Column:
         doc = F.when(F.col(f"{prefix}null") == 0, F.col(f"{prefix}doc"))
         return F.struct(doc.alias("doc_id"), F.col(f"{prefix}place").alias("place"))
 
-    return pairs.select(head("later_").alias("later"), head("").alias("earlier"))
+    return pairs.select(head("later_").alias("later"), head("").alias("earlier"), (F.col("cut") > 0).alias("cut"))
 
 
 def possible(rows: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -373,8 +393,8 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     listed = prefix_counts(classes)
     pairs = freeze(candidates(classes.withColumn("probe", F.lit(True)), listed, FEW), "line-pairs")
     found = freeze(verified(pairs, rows).select("later").distinct(), "line-found")
-    # Classes whose few candidates all failed are compared with every other candidate.
-    still = freeze(pairs.select("later").distinct().join(found, "later", "left_anti"), "line-open")
+    # Classes that had more than the few candidates, which all failed, are compared with every other one.
+    still = freeze(pairs.where("cut").select("later").distinct().join(found, "later", "left_anti"), "line-open")
     if not still.isEmpty():
         probes = classes.join(still.withColumn("probe", F.lit(True)), classes["head"] == still["later"], "left")
         probes = probes.drop("later").withColumn("probe", F.coalesce("probe", F.lit(False)))
