@@ -25,13 +25,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimflow.llm.tokens import Words, word_batches
+from claimflow.llm.tokens import Words, portions, word_batches
 from claimflow.session import freeze
 
 BUCKETS = 1 << 20
 CELL = 4096  # entries in one part of a token's list, by the counts of its bucket
 SHORT_LIST, BLOCK = 64, 512  # how lists are compared in memory
-FILTER_BITS = 1 << 23  # 1 MB
+FILTER_BITS = 1 << 26  # 8 MB
 FEW = 4  # candidates per entry and list that are verified first
 NUMERATOR, DENOMINATOR = 4, 5  # the threshold 0.8, in whole numbers
 LINE = "doc_id long, place long, low long, high long, size int, bits long, more_bits long, prefix array<int>"
@@ -93,7 +93,7 @@ def lines_of(rows: DataFrame, counts: np.ndarray) -> DataFrame:
                     yield columns(docs.slice(first, last - first), keys[first:last], words, shared.value)
 
     def columns(docs: pa.Array, keys: np.ndarray, words: Words, rare: np.ndarray) -> pa.RecordBatch:
-        lines = np.union1d(words.texts[:-1], np.flatnonzero(words.data == 10) + 1)
+        lines, text_of, number_of = line_starts(words.data, words.texts)
         line = np.searchsorted(lines, words.starts, "right") - 1
         tokens = words.hashes
         order = in_order(line, rare[(tokens % np.uint64(BUCKETS)).astype(np.int64)], tokens)
@@ -114,8 +114,7 @@ def lines_of(rows: DataFrame, counts: np.ndarray) -> DataFrame:
         chosen = np.arange(len(tokens)) - np.repeat(starts, sizes) < np.repeat(prefix, sizes)
         ends = np.concatenate([[0], np.cumsum(prefix)]).astype(np.int32)
         here = line[starts]
-        text = np.searchsorted(words.texts, lines[here], "right") - 1
-        number = here - np.searchsorted(lines, words.texts[text])
+        text, number = text_of[here], number_of[here]
         return pa.RecordBatch.from_arrays([
             docs.take(pa.array(text)), pa.array((keys[text] << 32) + number), pa.array(low.view(np.int64)),
             pa.array(high.view(np.int64)), pa.array(sizes.astype(np.int32)), pa.array(bits.view(np.int64)),
@@ -192,8 +191,7 @@ def packed_entries(classes: DataFrame, listed: np.ndarray, targets: int, asked:
             counts, asked_tokens = shared.value
             position = np.arange(len(token)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
             if asked_tokens is not None:
-                bit = token % np.uint32(FILTER_BITS)
-                some = np.flatnonzero(asked_tokens[bit >> 3] >> (7 - (bit & 7)).astype(np.uint8) & 1)
+                some = np.flatnonzero(is_marked(asked_tokens, token % np.uint32(FILTER_BITS)))
                 row, token, position = row[some], token[some], position[some]
             if not len(token):
                 continue
@@ -289,11 +287,9 @@ def pairs_in(entries: np.ndarray, most: int | None) -> Iterator[tuple[np.ndarray
 
 
 def tokens_asked(probes: DataFrame) -> np.ndarray:
-    bit = F.col("token").bitwiseAND(F.lit(FILTER_BITS - 1)).alias("bit")
-    marks = np.zeros(FILTER_BITS, bool)
-    found = probes.where("probe").select(F.explode("prefix").alias("token")).select(bit).distinct().toArrow()
-    marks[found.column("bit").to_numpy()] = True
-    return np.packbits(marks)
+    """Bit set of the tokens that probes have."""
+    bit = F.col("token").bitwiseAND(F.lit(FILTER_BITS - 1)).cast("long").alias("bit")
+    return marks_of(probes.where("probe").select(F.explode("prefix").alias("token")).select(bit))
 
 
 def candidates(
@@ -330,40 +326,65 @@ def candidates(
     return pairs.select(head("later_").alias("later"), head("").alias("earlier"), (F.col("cut") > 0).alias("cut"))
 
 
-def possible(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Rows that may be among the wanted (doc_id, hash), by a bit set of fixed size; few others pass while it is sparse."""
-    spark, bit = rows.sparkSession, F.pmod(F.xxhash64("doc_id", "hash"), F.lit(FILTER_BITS)).cast("int")
-    marks = np.zeros(FILTER_BITS, bool)
-    marks[wanted.select(bit.alias("bit")).distinct().toArrow().column("bit").to_numpy()] = True
-    shared = spark.sparkContext.broadcast(np.packbits(marks))
+def line_starts(data: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where lines start, the text each is in and its number there. Places of empty texts count for the next text."""
+    lines = np.union1d(texts[:-1], np.flatnonzero(data == 10) + 1)
+    text = np.searchsorted(texts, lines, "right") - 1
+    inside = text < len(texts) - 1  # a newline at the very end starts nothing
+    lines, text = lines[inside], text[inside]
+    return lines, text, np.arange(len(lines)) - np.searchsorted(lines, texts[text])
+
+
+def marks_of(bits: DataFrame) -> np.ndarray:
+    """A bit set of fixed size from the rows' `bit`: the driver gets FILTER_BITS bits, however many rows there are."""
+    # these functions put the numbers 1 to 32768 into bucket 1, and so on
+    bucket, position = F.expr("bitmap_bucket_number(bit + 1)"), F.expr("bitmap_construct_agg(bitmap_bit_position(bit + 1))")
+    out = np.zeros(FILTER_BITS // 8, np.uint8)
+    for row in bits.groupBy(bucket.alias("bucket")).agg(position.alias("marks")).toLocalIterator():
+        part = np.frombuffer(row["marks"], np.uint8)
+        at = (row["bucket"] - 1) * 4096
+        out[at : at + len(part)] = part
+    return out
 
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = batch.column(0).to_numpy()
-            found = shared.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1
-            yield pa.RecordBatch.from_arrays(batch.columns[1:], batch.schema.names[1:]).filter(pa.array(found == 1))
 
-    return rows.select(bit.alias("bit"), "doc_id", "hash", "text").mapInArrow(keep, "doc_id long, hash long, text string")
+def is_marked(marks: np.ndarray, bit: np.ndarray) -> np.ndarray:
+    return (marks[bit >> 3] >> (bit & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def wanted_lines(rows: DataFrame, heads: DataFrame) -> DataFrame:
+    """(head, line): lines that may be among the heads, by a bit set of fixed size; few others pass while it is sparse."""
+    doc, place = F.coalesce("head.doc_id", F.lit(0)), F.col("head.place")
+    mixed = F.shiftright(place, 32).bitwiseXOR(place.bitwiseAND(F.lit(0xFFFFFFFF)) * 2654435)
+    mixed = mixed.bitwiseXOR(doc).bitwiseXOR(F.shiftright(doc, 24))
+    marks = marks_of(heads.select(mixed.bitwiseAND(F.lit(FILTER_BITS - 1)).alias("bit")))
+    shared = rows.sparkSession.sparkContext.broadcast(marks)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column(0).fill_null(0).to_numpy()
+            hashes = batch.column(1).to_numpy()
+            for first, last, data, texts in portions(batch.column(2)):
+                lines, text, number = line_starts(data, texts)
+                doc, key = ids[first:last][text], hashes[first:last][text]
+                bit = (key ^ (number * 2654435) ^ doc ^ (doc >> 24)) & (FILTER_BITS - 1)
+                some = np.flatnonzero(is_marked(shared.value, bit))
+                ends = np.append(lines[1:], len(data))[some]
+                raw = [data[a:b].tobytes().rstrip(b"\n") for a, b in zip(lines[some], ends)]
+                yield pa.RecordBatch.from_arrays([
+                    batch.column(0).slice(first, last - first).take(pa.array(text[some])),
+                    pa.array((key[some] << 32) + number[some]), pa.array(raw, pa.binary()).cast(pa.string()),
+                ], ["doc_id", "place", "line"])
+
+    found = rows.select("doc_id", "hash", "text").mapInArrow(cut, "doc_id long, place long, line string")
+    return found.select(F.struct("doc_id", "place").alias("head"), "line")
 
 
 def verified(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     """The pairs whose token sets are similar, by the words of the lines."""
-    heads = pairs.select(F.explode(F.array("later", "earlier")).alias("head")).distinct()
-    per_doc = freeze(heads.groupBy(
-        F.col("head.doc_id").alias("doc_id"), F.shiftright("head.place", 32).alias("hash")
-    ).agg(F.collect_list("head").alias("heads")), "line-heads")
-    rows = possible(rows, per_doc)
-    same = rows["doc_id"].eqNullSafe(per_doc["doc_id"]) & (rows["hash"] == per_doc["hash"])
-    lines = rows.join(per_doc, same).select("heads", F.split("text", "\n").alias("lines"))
-
-    def with_line(head: Column) -> Column:
-        number = head["place"].bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")
-        return F.struct(head.alias("head"), F.get("lines", number).alias("line"))
-
-    # cut out before the rows are multiplied, so that no text is
-    lines = lines.select(F.transform("heads", with_line).alias("wanted")).select(F.inline("wanted"))
+    heads = pairs.select(F.explode(F.array("later", "earlier")).alias("head"))
+    lines = wanted_lines(rows, heads)
     words = F.array_distinct(F.filter(F.split("line", SPACE), lambda w: w != ""))
-    sets = lines.select("head", words.alias("words")).dropDuplicates(["head"])
+    sets = lines.dropDuplicates(["head"]).select("head", words.alias("words"))
     a = sets.select(F.col("head").alias("later"), F.col("words").alias("a"))
     b = sets.select(F.col("head").alias("earlier"), F.col("words").alias("b"))
     both = F.size(F.array_intersect("a", "b"))

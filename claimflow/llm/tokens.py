@@ -75,8 +75,8 @@ class Words:
         return np.searchsorted(self.starts, self.texts)
 
 
-def word_batches(column: pa.Array, most_bytes: int = 1 << 20) -> Iterator[tuple[int, int, Words]]:
-    """(first row, last row + 1, their words) of a column of texts, in portions; null counts as empty."""
+def portions(column: pa.Array, most_bytes: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, last row + 1, their bytes, where each text starts and the end) of a column of texts; null is empty."""
     column = column.cast(pa.large_string()).fill_null("")
     _, offsets, data = column.buffers()
     offsets = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
@@ -86,10 +86,16 @@ def word_batches(column: pa.Array, most_bytes: int = 1 << 20) -> Iterator[tuple[
         last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + most_bytes, "right")) - 1)
         last = min(last, len(column))
         low, high = offsets[first], offsets[last]
-        yield first, last, Words(data[low:high], offsets[first : last + 1] - low)
+        yield first, last, data[low:high], offsets[first : last + 1] - low
         first = last
 
 
+def word_batches(column: pa.Array, most_bytes: int = 1 << 20) -> Iterator[tuple[int, int, Words]]:
+    """(first row, last row + 1, their words) of a column of texts, in portions; null counts as empty."""
+    for first, last, data, texts in portions(column, most_bytes):
+        yield first, last, Words(data, texts)
+
+
 def shingle_hashes(words: np.ndarray, k: int) -> np.ndarray:
     """64-bit hash of every run of k word hashes."""
     n = len(words) - k + 1
