@@ -34,7 +34,7 @@ SHORT_LIST, BLOCK = 64, 512  # how lists are compared in memory
 FILTER_BITS = 1 << 26  # 8 MB
 FEW = 4  # candidates per entry and list that are verified first
 NUMERATOR, DENOMINATOR = 4, 5  # the threshold 0.8, in whole numbers
-LINE = "doc_id long, place long, low long, high long, size int, bits long, more_bits long, prefix array<int>"
+LINE = "doc_id long, place long, low long, high long, size int, bits long, more_bits long, n_lines int, prefix array<int>"
 SPACE = r"[\x20\x09-\x0D]+"
 
 
@@ -78,7 +78,8 @@ def in_order(line: np.ndarray, rare: np.ndarray, tokens: np.ndarray) -> np.ndarr
 
 
 def lines_of(rows: DataFrame, counts: np.ndarray) -> DataFrame:
-    """One row per line with words. `place` orders lines within an id; (low, high) is a hash of the token set.
+    """One row per line with words. `place` orders lines within an id; (low, high) is a hash of the token set;
+    n_lines counts those of the document.
 
     `prefix` has 32 bits of each token's hash, which is enough to find equal tokens; the order is by rarity and the
     whole hash.
@@ -118,9 +119,9 @@ def lines_of(rows: DataFrame, counts: np.ndarray) -> DataFrame:
         return pa.RecordBatch.from_arrays([
             docs.take(pa.array(text)), pa.array((keys[text] << 32) + number), pa.array(low.view(np.int64)),
             pa.array(high.view(np.int64)), pa.array(sizes.astype(np.int32)), pa.array(bits.view(np.int64)),
-            pa.array(more_bits.view(np.int64)),
+            pa.array(more_bits.view(np.int64)), pa.array(np.bincount(text)[text].astype(np.int32)),
             pa.ListArray.from_arrays(pa.array(ends), pa.array(tokens[chosen].astype(np.uint32).view(np.int32))),
-        ], ["doc_id", "place", "low", "high", "size", "bits", "more_bits", "prefix"])
+        ], ["doc_id", "place", "low", "high", "size", "bits", "more_bits", "n_lines", "prefix"])
 
     return rows.select("doc_id", "hash", "text").mapInArrow(make, LINE)
 
@@ -407,7 +408,7 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     classes = freeze(
         lines.groupBy("low", "high").agg(
             F.min(head).alias("head"), F.first("size").alias("size"), F.first("bits").alias("bits"),
-            F.first("more_bits").alias("more_bits"), F.first("prefix").alias("prefix"),
+            F.first("more_bits").alias("more_bits"), F.first("prefix").alias("prefix"), F.count(F.lit(1)).alias("n"),
         ),
         "line-classes",
     )
@@ -424,21 +425,20 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         ).distinct()
     gone = found.withColumn("gone", F.lit(True))
 
-    verdicts = classes.join(gone, classes["head"] == gone["later"], "left").select(
-        "low", "high", "head", F.coalesce("gone", F.lit(False)).alias("gone")
-    )
-    removed = F.col("gone") | (F.col("head") != head)
+    # Only classes that lose a line go on to the lines; most classes are one line that stays.
+    verdicts = classes.select("low", "high", "head", "n").join(gone, F.col("head") == F.col("later"), "left").select(
+        "low", "high", "head", "n", F.coalesce("gone", F.lit(False)).alias("gone")
+    ).where((F.col("n") > 1) | F.col("gone"))
     number = F.col("place").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")
-    per_doc = lines.select("low", "high", "doc_id", "place").join(verdicts, ["low", "high"]).groupBy(
-        "doc_id", F.shiftright("place", 32).alias("hash")
-    ).agg(
-        F.count_distinct("place").alias("n_lines"), F.array_sort(F.collect_set(F.when(removed, number))).alias("removed")
-    )
-    known = rows.select("doc_id", "hash").distinct()
-    same = known["doc_id"].eqNullSafe(per_doc["doc_id"]) & (known["hash"] == per_doc["hash"])
-    return known.join(per_doc, same, "left").select(
-        known["doc_id"], known["hash"], F.coalesce("n_lines", F.lit(0)).alias("n_lines"),
-        F.coalesce("removed", F.array().cast("array<int>")).alias("removed"),
+    hash_of = F.shiftright("place", 32).alias("hash")
+    out = lines.select("low", "high", "doc_id", "place").join(verdicts, ["low", "high"]).where(
+        F.col("gone") | (F.col("head") != head)
+    ).select("doc_id", hash_of, F.lit(0).alias("n_lines"), number.alias("number"))
+    none = F.lit(None).cast("int").alias("number")
+    counted = lines.groupBy("doc_id", hash_of).agg(F.max("n_lines").alias("n_lines")).withColumn("number", none)
+    known = rows.select("doc_id", "hash", F.lit(0).alias("n_lines"), none)
+    return known.union(counted).union(out).groupBy("doc_id", "hash").agg(
+        F.max("n_lines").cast("long").alias("n_lines"), F.array_sort(F.collect_set("number")).alias("removed")
     )
 
 
