@@ -145,12 +145,24 @@ def from_columns(packed: bytes) -> np.ndarray:
     return out
 
 
-def prefix_counts(classes: DataFrame) -> np.ndarray:
-    """Prefix entries of all classes per bucket of tokens: how long the lists are at most."""
-    bucket = F.col("token").bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
-    counted = classes.select(F.explode("prefix").alias("token")).groupBy(bucket.alias("bucket")).count().toArrow()
-    out = np.zeros(BUCKETS, np.int64)
-    out[counted.column("bucket").to_numpy()] = counted.column("count").to_numpy()
+def prefix_counts(classes: DataFrame, counts: np.ndarray) -> np.ndarray:
+    """How long the lists of a bucket's tokens are at most: the words of the bucket, or its prefix entries.
+
+    A list is split beyond CELL entries only, so prefix entries are counted in buckets of more words than that.
+    """
+    shared = classes.sparkSession.sparkContext.broadcast(counts > CELL)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(BUCKETS, np.int64)
+        for batch in batches:
+            bucket = batch.column(0).flatten().to_numpy().view(np.uint32) % np.uint32(BUCKETS)
+            total += np.bincount(bucket[shared.value[bucket]], minlength=BUCKETS)
+        here = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(here.astype(np.int32)), pa.array(total[here])], ["bucket", "n"])
+
+    counted = classes.select("prefix").mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    out, found = np.where(counts > CELL, 0, counts), counted.toArrow()
+    out[found.column("bucket").to_numpy()] = found.column("n").to_numpy()
     return out
 
 
@@ -412,7 +424,7 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         ),
         "line-classes",
     )
-    listed = prefix_counts(classes)
+    listed = prefix_counts(classes, counts)
     pairs = freeze(candidates(classes.withColumn("probe", F.lit(True)), listed, FEW), "line-pairs")
     found = freeze(verified(pairs, rows).select("later").distinct(), "line-found")
     # Classes that had more than the few candidates, which all failed, are compared with every other one.
