@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from claimflow.llm.tokens import Words, portions, word_batches
 from claimflow.session import freeze
 
-BUCKETS = 1 << 20
+BUCKETS, WIDTH = 1 << 20, 16
 CELL = 4096  # entries in one part of a token's list, by the counts of its bucket
 SHORT_LIST, BLOCK = 64, 512  # how lists are compared in memory
 FILTER_BITS = 1 << 26  # 8 MB
@@ -48,21 +48,25 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def rarity(rows: DataFrame) -> np.ndarray:
-    """Words per bucket, over all lines."""
+    """Words per bucket, over all lines. Each task sends WIDTH buckets a row."""
+    names = [f"n{i}" for i in range(WIDTH)]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(BUCKETS, np.int64)
         for batch in batches:
             for _, _, words in word_batches(batch.column(0)):
                 total += np.bincount((words.hashes % np.uint64(BUCKETS)).astype(np.int64), minlength=BUCKETS)
-        here = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(here.astype(np.int32)), pa.array(total[here])], ["bucket", "n"])
-
-    counted = rows.select("text").mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
-    out = np.zeros(BUCKETS, np.int64)
-    found = counted.toArrow()  # 2^20 rows at most
-    out[found.column("bucket").to_numpy()] = found.column("n").to_numpy()
-    return out
+        wide = total.reshape(-1, WIDTH)
+        here = np.flatnonzero(wide.any(1))
+        columns = [pa.array(wide[here, i]) for i in range(WIDTH)]
+        yield pa.RecordBatch.from_arrays([pa.array(here.astype(np.int32)), *columns], ["row", *names])
+
+    schema = ", ".join(["row int", *(f"{n} long" for n in names)])
+    counted = rows.select("text").mapInArrow(count, schema).groupBy("row").agg(*[F.sum(n).alias(n) for n in names])
+    out = np.zeros((BUCKETS // WIDTH, WIDTH), np.int64)
+    found = counted.toArrow()  # BUCKETS / WIDTH rows at most
+    out[found.column("row").to_numpy()] = np.stack([found.column(n).to_numpy() for n in names], 1)
+    return out.ravel()
 
 
 def in_order(line: np.ndarray, rare: np.ndarray, tokens: np.ndarray) -> np.ndarray:
