@@ -31,7 +31,7 @@ from claimflow.session import freeze
 BUCKETS, WIDTH = 1 << 20, 16
 CELL = 4096  # entries in one part of a token's list, by the counts of its bucket
 SHORT_LIST, BLOCK = 64, 512  # how lists are compared in memory
-FILTER_BITS = 1 << 26  # 8 MB
+FILTER_BITS = 1 << 24  # 2 MB
 FEW = 4  # candidates per entry and list that are verified first
 NUMERATOR, DENOMINATOR = 4, 5  # the threshold 0.8, in whole numbers
 LINE = "doc_id long, place long, low long, high long, size int, bits long, more_bits long, n_lines int, prefix array<int>"
@@ -246,26 +246,40 @@ class Filters:
     def passing(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Which of the pairs pass; a has the later classes."""
         x, y = self.size[a], self.size[b]
-        left = np.minimum(self.left[a], self.left[b])
+        some = np.flatnonzero((DENOMINATOR * x >= NUMERATOR * y) & (DENOMINATOR * y >= NUMERATOR * x))
+        a, b = a[some], b[some]
         # Similar sets share at least 4/9 of the sum of their sizes, and all of it from their first common token on.
-        whole, total = NUMERATOR + DENOMINATOR, x + y
-        ok = (DENOMINATOR * np.minimum(x, y) >= NUMERATOR * np.maximum(x, y)) & (whole * left >= NUMERATOR * total)
-        some = np.flatnonzero(ok & self.probe[a])
-        a, b, total = a[some], b[some], total[some]
+        whole, total = NUMERATOR + DENOMINATOR, x[some] + y[some]
+        ok = np.flatnonzero((whole * np.minimum(self.left[a], self.left[b]) >= NUMERATOR * total) & self.probe[a])
+        some, a, b, total = some[ok], a[ok], b[ok], total[ok]
         # so they differ in at most 1/9 of that sum
         differ = np.bitwise_count(self.bits[a] ^ self.bits[b]).astype(np.int32)
         differ += np.bitwise_count(self.more_bits[a] ^ self.more_bits[b])
         return some[whole * differ <= (DENOMINATOR - NUMERATOR) * total]
 
 
+def list_order(e: np.ndarray) -> np.ndarray:
+    """Order of the entries by token, cell, and the order of lines."""
+    token = e["token"].astype(np.uint64) << np.uint64(32)
+    if not len(e) or e["null"].any() or e["cell"].any() or e["doc"].min() < 0 or e["doc"].max() >> 32:
+        nulls = [1 - e["null"]] if e["null"].any() else []
+        return np.lexsort((e["place"], e["doc"], *nulls, token | e["cell"].astype(np.uint64)))
+    # One sort by token and document does nearly all; entries with the same of both are then put in order of place.
+    key = token | e["doc"].astype(np.uint64)
+    order = np.argsort(key)
+    same = np.diff(key[order]) == 0
+    tied = np.flatnonzero(np.append(same, False) | np.append(False, same))
+    at = order[tied]
+    order[tied] = at[np.lexsort((e["place"][at], key[at]))]
+    return order
+
+
 def pairs_in(entries: np.ndarray, most: int | None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Candidates among the entries: later, earlier, and whether more of the later one's list may have been left out.
 
     With `most`, only the earliest so many per entry and list are given.
     """
-    listed = entries["token"].astype(np.uint64) << np.uint64(32) | entries["cell"].astype(np.uint64)
-    nulls = [1 - entries["null"]] if entries["null"].any() else []
-    e = entries[np.lexsort((entries["place"], entries["doc"], *nulls, listed))]
+    e = entries[list_order(entries)]
     filters = Filters(e)
     new = np.empty(len(e), bool)
     new[:1] = True
