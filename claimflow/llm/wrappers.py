@@ -55,30 +55,48 @@ ZONES = {
     "pagination", "paywall", "popup", "promo", "related", "replies", "respond", "search", "share", "sharing", "sidebar", "signup",
     "skip", "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget",
 }
+# Words that say where a zone is or what it is made of; with a word of ZONES they make up the name of a zone.
+PLACES = {
+    "area", "bar", "block", "body", "bottom", "box", "button", "buttons", "container", "global", "inner", "item", "items", "left",
+    "link", "links", "list", "main", "outer", "page", "primary", "right", "secondary", "section", "site", "slot", "top", "wrap",
+    "wrapper",
+}
+ARTICLE_ZONES = {"comment", "comments", "reply", "related", "promo", "ad"}
 MERGED = 16  # streams or wrappers of a host that one row aligns
 SALTS = 16
 
 
+def names_zone(token: str, zones: set[str]) -> bool:
+    """Whether a class, id or role as a whole is the name of a zone: "cookie-notice", but not "has-sidebar"."""
+    words = [w for w in token.split("-") if w not in PLACES]
+    return bool(words) and all(w in zones for w in words)
+
+
 class Element:
-    """An open element: its name, its label in a wrapper, and whether text in it is outside of the main text."""
+    """An open element: its name, its label in a wrapper, and whether text in it is outside of the main text.
 
-    __slots__ = ("name", "label", "outside", "in_article")
+    `named` tells that its class, id or role names a zone; labels in `free` are none nevertheless.
+    """
+
+    __slots__ = ("name", "label", "outside", "in_article", "named")
 
-    def __init__(self, name: str, attributes: str, parent: Element | None):
+    def __init__(self, name: str, attributes: str, parent: Element | None, free: frozenset[str] = frozenset()):
         self.name, words = name, []
         marks = ATTRIBUTE.findall(attributes) if attributes and "=" in attributes else ()
         for _, a, b, c in marks:
-            words += re.split(r"[^a-z]+", (a or b or c).lower())
+            words += ["-".join(w for w in re.split(r"[^a-z]+", token) if w) for token in (a or b or c).lower().split()]
         words = [w for w in words if w]
         self.label = ".".join([name, *words])
         self.in_article = name == "article" or bool(parent and parent.in_article)
         zone = name in OUTSIDE or (name == "header" and not self.in_article)
-        zone = zone or (name not in ("html", "body", "article", "main") and any(w in ZONES for w in words))
-        zone = zone or (name == "article" and any(w in ("comment", "comments", "reply", "related", "promo", "ad") for w in words))
-        self.outside = bool(parent and parent.outside) or zone
+        if name == "article":
+            zone = zone or any(names_zone(w, ARTICLE_ZONES) for w in words)
+        zones = ZONES - {"header"} if self.in_article else ZONES
+        self.named = not zone and name not in ("html", "body", "article", "main") and any(names_zone(w, zones) for w in words)
+        self.outside = bool(parent and parent.outside) or zone or (self.named and self.label not in free)
 
 
-def events(page: str) -> Iterator[tuple[str, list[Element], str]]:
+def events(page: str, free: frozenset[str] = frozenset()) -> Iterator[tuple[str, list[Element], str]]:
     """("open" | "close" | "text" | "break", open elements, name or text) of a page, tolerant of missing end tags."""
     stack: list[Element] = []
     at = 0
@@ -112,7 +130,7 @@ def events(page: str) -> Iterator[tuple[str, list[Element], str]]:
                 label = stack[i].label
                 del stack[i:]
                 yield "close", stack, label
-        element = Element(name, match[3] or match[6] or "", stack[-1] if stack else None)
+        element = Element(name, match[3] or match[6] or "", stack[-1] if stack else None, free)
         if name in VOID:
             yield ("break" if name == "hr" else "text"), stack, " " if name != "hr" else name
             continue
@@ -273,23 +291,50 @@ def slots(wrapper: list) -> Iterator[tuple[tuple[str, ...], bool]]:
     return walk(wrapper, False)
 
 
-def outside(labels: tuple[str, ...]) -> bool:
-    element = None
+def elements(labels: tuple[str, ...], free: frozenset[str] = frozenset()) -> list[Element]:
+    out: list[Element] = []
     for label in labels:
         name, *words = label.split(".")
-        element = Element(name, f'class="{" ".join(words)}"' if words else "", element)
-    return bool(element and element.outside)
+        out.append(Element(name, f'class="{" ".join(words)}"' if words else "", out[-1] if out else None, free))
+    return out
 
 
-def container_of(wrapper: list) -> str:
+def outside(labels: tuple[str, ...], free: frozenset[str] = frozenset()) -> bool:
+    inner = elements(labels, free)
+    return bool(inner and inner[-1].outside)
+
+
+def free_zones(wrapper: list) -> frozenset[str]:
+    """Labels of blocks that are named like a zone and are none: those that hold more than half of the slots that are
+    not outside by their elements, or that hold an article or main when all articles and mains are in such blocks."""
+    weights: dict[str, int] = {}
+    holders: set[str] = set()
+    total, apart = 0, False
+    for labels, repeated in slots(wrapper):
+        if outside(labels, frozenset(labels)):
+            continue
+        inner = elements(labels)
+        total += (w := 5 if repeated else 1)
+        named = [e.label for e in inner if e.named]
+        for label in set(named):
+            weights[label] = weights.get(label, 0) + w
+        at = next((i for i, e in enumerate(inner) if e.name in ("article", "main")), None)
+        if at is not None:
+            around = [e.label for e in inner[:at] if e.named]
+            holders.update(around)
+            apart = apart or not around
+    return frozenset({label for label, w in weights.items() if 2 * w > total} | (set() if apart else holders))
+
+
+def container_of(wrapper: list, free: frozenset[str] = frozenset()) -> str:
     """Label of the main container: "article" or "main" where slots lie in one, else of the smallest container with at
     least half of the weight of all slots that are in no other zone; "" for all of the page."""
-    inner = [(labels, 5 if repeated else 1) for labels, repeated in slots(wrapper) if not outside(labels)]
+    inner = [(labels, 5 if repeated else 1) for labels, repeated in slots(wrapper) if not outside(labels, free)]
     for name in ("article", "main"):
         if any(label.split(".")[0] == name for labels, _ in inner for label in labels):
             return name
-    if any("role" in label or label.endswith(".main") for labels, _ in inner for label in labels):
-        return next(label for labels, _ in inner for label in labels if label.endswith(".main"))
+    if mains := [label for labels, _ in inner for label in labels if label.endswith((".main", "-main"))]:
+        return mains[0]
     weights: dict[tuple[str, ...], int] = {}
     for labels, w in inner:
         for depth, label in enumerate(labels):
@@ -301,15 +346,15 @@ def container_of(wrapper: list) -> str:
     return best[-1] if best and best[-1].split(".")[0] not in ("body", "html") else ""
 
 
-def main_text(page: str, container: str) -> str:
+def main_text(page: str, container: str, free: frozenset[str] = frozenset()) -> str:
     """The blocks of the container in page order, one to a line; of the whole page when it has no such container."""
-    found = read_blocks(page, container) if container else None
+    found = read_blocks(page, container, free) if container else None
     if found is None and container != "article":
-        found = read_blocks(page, "article")
-    return "\n".join(read_blocks(page, "") if found is None else found)
+        found = read_blocks(page, "article", free)
+    return "\n".join(read_blocks(page, "", free) if found is None else found)
 
 
-def read_blocks(page: str, container: str) -> list[str] | None:
+def read_blocks(page: str, container: str, free: frozenset[str] = frozenset()) -> list[str] | None:
     """None when the page has no such container."""
     blocks, parts, seen = [], [], not container
     by_name = container in ("article", "main")
@@ -320,7 +365,7 @@ def read_blocks(page: str, container: str) -> list[str] | None:
             blocks.append(text)
         parts.clear()
 
-    for kind, stack, what in events(page):
+    for kind, stack, what in events(page, free):
         if kind != "text":
             flush()
             continue
@@ -394,21 +439,27 @@ def extract_main_text(
 
     def containers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [container_of(json.loads(w)) for w in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.string())], ["host", "container"])
+            known = [json.loads(w) for w in batch.column(1).to_pylist()]
+            free = [free_zones(w) for w in known]
+            found = [container_of(w, f) for w, f in zip(known, free)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(found, pa.string()), pa.array([sorted(f) for f in free], pa.list_(pa.string()))],
+                ["host", "container", "free"],
+            )
 
-    known = infer_wrappers(rows).mapInArrow(containers, "host string, container string")
+    known = infer_wrappers(rows).mapInArrow(containers, "host string, container string, free array<string>")
     known = known.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     salted = rows.withColumn("salt", F.pmod(F.xxhash64("page_id", "url", F.length("html")), F.lit(SALTS)).cast("int"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [main_text(p, c or "") if p else "" for p, c in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist())]
+            pages, containers, free = (batch.column(i).to_pylist() for i in (3, 4, 5))
+            texts = [main_text(p, c or "", frozenset(f or ())) if p else "" for p, c, f in zip(pages, containers, free)]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:3], pa.array(texts, pa.string())], ["page_id", "url", "host", "text"]
             )
 
-    joined = salted.join(known.hint("merge"), ["host", "salt"], "left").select("page_id", "url", "host", "html", "container")
+    joined = salted.join(known.hint("merge"), ["host", "salt"], "left").select("page_id", "url", "host", "html", "container", "free")
     kinds = dict(rows.dtypes)
     out = joined.mapInArrow(read, f"page_id {kinds['page_id']}, url {kinds['url']}, host string, text string")
     return out.withColumn("n_chars", F.char_length("text").cast("long"))

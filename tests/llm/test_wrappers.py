@@ -92,3 +92,19 @@ def test_query_against_the_pages_own_article(spark):
         blocks = [" ".join(html.unescape(re.sub(r"<[^>]*>", " ", b)).split()) for b in re.split(r"</?(?:p|h1|ul|ol|li|div|pre|h2|table|tr|td)\b[^>]*>", body)]
         assert r.text == "\n".join(b for b in blocks if b) and r.url == pages[r.page_id].url
         assert r.n_chars == len(r.text)
+
+
+@pytest.mark.parametrize("page, want", [
+    ("<div class='site has-sidebar'><article><p>a</p></article></div>", "a"),
+    ("<div id=page class='no-comments'><p>a</p><p>b</p></div>", "a\nb"),
+    ("<article><div class='article-header'><h1>t</h1></div><p>a</p></article>", "t\na"),
+    ("<article><div class='header'><h1>t</h1></div><p>a</p></article>", "t\na"),
+    ("<article><section id='related-work'><p>r</p></section><div class='form-group'>f</div></article>", "r\nf"),
+    ("<article><p>a</p><div class='comments-area'>c</div><div class='ad-slot'>x</div><div class='share-links'>s</div></article>", "a"),
+    ("<body><div class='header'>h</div><div class='site-footer'>f</div><p>a</p></body>", "a"),
+    ("<div class='widget'><main><p>a</p></main></div>", "a"), ("<div class='search'><p>a</p><p>b</p></div><p>c</p>", "a\nb"),
+    ("<article>a</article><section id=comments><article>c</article></section>", "a"),
+])
+def test_zones_are_whole_names(spark, page, want):
+    df = spark.createDataFrame([(1, "http://a.org/", page)], "page_id long, url string, html string")
+    assert wrappers.extract_main_text(df).first().text == want
