@@ -263,6 +263,12 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     links. Null ids are least and take part; repeated rows are documents of their own. Ties in ids are told apart by
     `hash`, xxhash64 of the text. Other columns are not read. An empty table gives no rows.
     """
+    return grouped_documents(docs, id_col, text_col).drop("label")
+
+
+def grouped_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """As link_documents, with `label`, which names the group; null for texts without words. Groups may have the same
+    class_id, where rows of one id have different texts."""
     members, signatures = classes_of(docs, id_col, text_col)
     classes = freeze(
         signatures.groupBy("low", "high").agg(
@@ -319,23 +325,29 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         labels.select("node.low", "node.high", "label"), ["low", "high"], "left"
     ).withColumn("label", F.coalesce("label", key))
     groups = per_class.groupBy("label").agg(F.min("least").alias("group"))
-    per_class = per_class.join(groups, "label").select("low", "high", "copies", "links", "group.doc_id")
+    per_class = per_class.join(groups, "label").select("low", "high", "copies", "links", "group.doc_id", "label")
     per_class = per_class.withColumnRenamed("doc_id", "class_id")
     full = F.col("n") > 0
     return members.join(per_class, ["low", "high"]).select(
         "doc_id", "hash", F.when(full, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"),
         F.when(full, F.col("copies") - 1 + F.coalesce("links", F.lit(0))).otherwise(F.lit(0)).cast("long").alias("n_links"),
+        F.when(full, F.col("label")).alias("label"),
     )
 
 
 def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that stay when one of each group does: that with the least id; of rows that are equal in id and
-    text, all or none. All columns are kept. Null ids stay when no other row has the id of the group."""
-    links = link_documents(docs, id_col, text_col)
-    stay = links.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(
-        F.col("doc_id").alias("_id"), F.col("hash").alias("_hash")
-    ).distinct()
+    """The documents that stay when one of each group does: that with the least id, null least, and of several the one
+    of least hash of the text. Of rows that are equal in id and text any one stays. Texts without words are in no group
+    and all stay. All columns are kept."""
+    links = grouped_documents(docs, id_col, text_col)
+    counts = links.groupBy("doc_id", "hash", "label").agg(F.count("*").alias("n"))
+    groups = counts.where("label IS NOT NULL").groupBy("label").agg(F.min(F.struct("doc_id", "hash", "n")).alias("d"))
+    alone = links.where("label IS NULL").select("doc_id", "hash", F.lit(1).cast("long").alias("n")).distinct()
+    stay = groups.select("d.doc_id", "d.hash", "d.n").union(alone)
+    stay = freeze(stay.toDF("_id", "_hash", "_n"), "one-per-group")
     same = F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (
         F.xxhash64(F.col(text_col).cast("string")) == F.col("_hash")
     )
-    return docs.join(stay, same, "left_semi")
+    once = docs.join(stay.where("_n = 1"), same, "left_semi")
+    several = docs.join(stay.where("_n > 1"), same).dropDuplicates(["_id", "_hash"])
+    return once.union(several.select(*[F.col(f"`{c}`") for c in docs.columns]))

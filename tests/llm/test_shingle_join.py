@@ -86,6 +86,17 @@ def test_edge_rows(spark):
     assert shingle_join.one_per_group(df).columns == df.columns
 
 
+def test_one_of_each_group_stays(spark):
+    """Of repeated rows, and of near copies of one id, one; of unlike texts of one id, each; of texts without words, all."""
+    near, other, third = (" ".join(f"{c}{i}" for i in range(80)) for c in "xyz")
+    docs = [(1, near), (1, near), (1, near), (1, near + " end"), (2, near), (1, other), (3, other), (None, third), (None, third), (5, " "), (5, " ")]
+    df = spark.createDataFrame([(d, t, "s") for d, t in docs], "doc_id long, text string, source string")
+    rows = shingle_join.one_per_group(df).collect()
+    assert sorted((r.doc_id or 0, r.text.split()[:1]) for r in rows) == [
+        (0, ["z0"]), (1, ["x0"]), (1, ["y0"]), (5, []), (5, []),
+    ]
+
+
 def test_empty_table(spark):
     assert shingle_join.link_documents(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
