@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from claimflow.llm import dac, line_join, line_rules, mixing, packing, passages, revisits, shingle_join, topk, wrappers
+from claimflow.llm import (
+    dac, line_join, line_rules, mixing, packing, passages, revisits, runs, shingle_join, topk, wrappers,
+)
 from claimflow.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -119,6 +121,12 @@ def op7_wrapper_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wrappers.extract_main_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
 
 
+@query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of repeated words in every document, once a tenth of the documents has been given a repeated tail."""
+    return runs.digest(runs.periodic_runs(runs.with_repeated_tails(table(spark, sf_dir, "documents"))))
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline over all documents."""
