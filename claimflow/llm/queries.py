@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from claimflow.llm import (
-    dac, line_join, line_rules, mixing, packing, passages, revisits, runs, shingle_join, topk, wrappers,
+    collocations, dac, line_join, line_rules, mixing, packing, passages, revisits, runs, shingle_join, topk, wrappers,
 )
 from claimflow.session import scratch_path
 
@@ -127,6 +127,15 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.digest(runs.periodic_runs(runs.with_repeated_tails(table(spark, sf_dir, "documents"))))
 
 
+@query
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 best collocations of 2 to 4 words of each language."""
+    return collocations.top_per_language(collocations.collocations(table(spark, sf_dir, "documents")), most=2000)
+
+
+SQL["op12_collocations"] = collocations.SQL
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline over all documents."""
