@@ -24,11 +24,12 @@ import itertools
 import math
 from collections import defaultdict
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from claimflow.functions.keys import with_dense_key
@@ -40,6 +41,7 @@ TILE = 64
 MERGE_PAIRS = 1 << 20  # entries held before they are added up
 DENSE = 4  # a tile is dense if it has an entry for each so many cells, at least
 BREAK = b"."
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
 CHUNK = "chunk long, lang string, words array<binary>, counts array<long>, places binary"
 PAIRS = "chunk long, unit int, keys binary, counts binary"
 UNKNOWN = "und"
@@ -76,7 +78,7 @@ def chunks_of(docs: DataFrame, text_col: str, lang_col: str, chunk_words: int) -
             counts[0] = 0
             columns = [
                 pa.array([_next_chunk(numbers)]), pa.array([lang]), pa.array([list(known)], pa.list_(pa.binary())),
-                pa.array([counts]), pa.array([places.tobytes()], pa.binary()),
+                pa.array([counts]), pa.array([_packed(places)], pa.binary()),
             ]
             return pa.RecordBatch.from_arrays(columns, ["chunk", "lang", "words", "counts", "places"])
 
@@ -165,7 +167,7 @@ def _pair_rows(chunk: int, left: np.ndarray, right: np.ndarray, side: int) -> It
     rows = []
     for low, high in itertools.pairwise(edges):
         keys, counts = count_keys(key[low:high])
-        rows.append((chunk, int(unit[low]), _packed(keys), counts.astype(np.uint32).tobytes()))
+        rows.append((chunk, int(unit[low]), _packed_keys(keys), _packed(counts)))
     yield _batch(rows)
 
 
@@ -177,18 +179,33 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     )
 
 
-def _packed(keys: np.ndarray) -> bytes:
-    """Keys in order as steps, one plane per byte, so that they compress well."""
-    steps = np.diff(keys, prepend=0).astype("<u8")
-    return np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T).tobytes()
+def _packed(numbers: np.ndarray) -> bytes:
+    """Numbers from 0 on, in as many byte planes as the greatest needs; the first byte says how many."""
+    width = max(1, (int(numbers.max(initial=0)).bit_length() + 7) // 8)
+    planes = numbers.astype("<i8").view(np.uint8).reshape(-1, 8)[:, :width].T
+    return bytes([width]) + np.ascontiguousarray(planes).tobytes()
 
 
-def _unpacked(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(data, np.uint8).reshape(8, -1)
-    return np.cumsum(np.ascontiguousarray(planes.T).view("<i8").ravel())
+def _unpacked(data: bytes | pa.Buffer) -> np.ndarray:
+    data = np.frombuffer(data, np.uint8)
+    planes = data[1:].reshape(int(data[0]), -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, : len(planes)] = planes.T
+    return out.view("<i8").ravel()
 
 
-LEFT = -1  # the unit number of the row that holds a chunk's own ids
+def _packed_keys(keys: np.ndarray) -> bytes:
+    """Keys in order: the steps between rows, then the columns."""
+    rows = _packed(np.diff(keys >> 32, prepend=0))
+    return len(rows).to_bytes(8, "little") + rows + _packed(keys & 0xFFFFFFFF)
+
+
+def _unpacked_keys(data: bytes) -> np.ndarray:
+    end = 8 + int.from_bytes(data[:8], "little")
+    return np.cumsum(_unpacked(data[8:end])) << 32 | _unpacked(data[end:])
+
+
+LEFT = -1  # the unit number of the row that holds a chunk's own ids, each plus 1; 0 for none
 
 
 def _pairs_at(left: np.ndarray, words: np.ndarray, k: int) -> np.ndarray:
@@ -219,8 +236,8 @@ def first_pairs(chunks: DataFrame, ids: DataFrame, side: int) -> DataFrame:
                 found = batch.column(3)[i].values
                 if found is not None and len(found):
                     number[found.field(0).to_numpy()] = found.field(1).to_numpy()
-                words = number[np.frombuffer(batch.column(2)[i].as_buffer(), np.int32)]
-                yield _batch([(chunk, LEFT, words.astype("<i8").tobytes(), b"")])
+                words = number[_unpacked(batch.column(2)[i].as_buffer())]
+                yield _batch([(chunk, LEFT, _packed(words + 1), b"")])
                 at = _pairs_at(words, words, 1)
                 yield from _pair_rows(chunk, words[at], words[at + 1], side)
 
@@ -238,21 +255,21 @@ def next_pairs(pairs: DataFrame, answers: DataFrame, words: DataFrame, k: int, s
         for batch in batches:
             for i in range(batch.num_rows):
                 chunk = batch.column(0)[i].as_py()
-                left, word = (np.frombuffer(batch.column(c)[i].as_buffer(), "<i8") for c in (1, 2))
+                left, word = (_unpacked(batch.column(c)[i].as_buffer()) - 1 for c in (1, 2))
                 here = _pairs_at(left, word, k - 1)
                 unit, key = _units(left[here], word[here + k - 1], side)
                 new = np.full(len(here), -1, np.int64)
                 order = np.argsort(unit, kind="stable")
                 edges = np.searchsorted(unit[order], np.arange(side * side + 1))
                 for answer in batch.column(3)[i].values or ():
-                    keys, ids = _unpacked(answer["keys"].as_py()), np.frombuffer(answer["ids"].as_py(), "<i8")
+                    keys, ids = _unpacked_keys(answer["keys"].as_py()), _unpacked(answer["ids"].as_py())
                     u = answer["unit"].as_py()
                     mine = order[edges[u] : edges[u + 1]]
                     place = np.minimum(np.searchsorted(keys, key[mine]), len(keys) - 1)
                     new[mine] = np.where(keys[place] == key[mine], ids[place], -1)
                 phrase = np.full(len(word), -1, np.int64)
                 phrase[here] = new
-                yield _batch([(chunk, LEFT, phrase.astype("<i8").tobytes(), b"")])
+                yield _batch([(chunk, LEFT, _packed(phrase + 1), b"")])
                 at = _pairs_at(phrase, word, k)
                 yield from _pair_rows(chunk, phrase[at], word[at + k], side)
 
@@ -283,8 +300,8 @@ def frequent_pairs(pairs: DataFrame, least: int, side: int) -> DataFrame:
                     if keys:
                         yield result()
                     unit, keys, counts, n, most = u, [], [], 0, MERGE_PAIRS
-                keys.append(_unpacked(k))
-                counts.append(np.frombuffer(c, np.uint32).astype(np.int64))
+                keys.append(_unpacked_keys(k))
+                counts.append(_unpacked(c))
                 n += len(counts[-1])
                 if n > most:  # rows of many chunks are added up on the way
                     key, count = merge()
@@ -318,11 +335,11 @@ def answered(pairs: DataFrame, numbered: DataFrame, side: int) -> DataFrame:
                     order = np.argsort(known)
                     known, ids = known[order], ids[order]
                 elif len(known):
-                    keys = _unpacked(batch.column(2)[i].as_py())
+                    keys = _unpacked_keys(batch.column(2)[i].as_py())
                     place = np.minimum(np.searchsorted(known, keys), len(known) - 1)
                     here = known[place] == keys
                     if here.any():
-                        out.append((chunk, u, _packed(keys[here]), ids[place[here]].astype("<i8").tobytes()))
+                        out.append((chunk, u, _packed_keys(keys[here]), _packed(ids[place[here]])))
             yield _batch(out).rename_columns(["chunk", "unit", "keys", "ids"])
 
     unit = (F.col("left_id") % side * side + F.col("right_id") % side).cast("int").alias("unit")
@@ -344,6 +361,20 @@ def numbered_by_frequency(df: DataFrame, order: list[str]) -> DataFrame:
     return ranked.select(*df.columns, (F.col("_id") - 1).alias("id"))
 
 
+@contextmanager
+def small_batches(spark: SparkSession):
+    """Rows of several MB pass to Python a few at a time."""
+    before = spark.conf.get(BATCH_SETTING, None)
+    spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(BATCH_SETTING)
+        else:
+            spark.conf.set(BATCH_SETTING, before)
+
+
 def phrases(
     docs: DataFrame, text_col: str = "text", lang_col: str = "lang", least: int = 30, longest: int = 4,
     chunk_words: int = CHUNK_WORDS, unit_pairs: int = UNIT_PAIRS,
@@ -354,6 +385,13 @@ def phrases(
     language's texts, overlaps included. totals has (lang, n). Languages are told apart; a null one is `und`, a null
     text is empty. Other columns are not used.
     """
+    with small_batches(docs.sparkSession):
+        return _phrases(docs, text_col, lang_col, least, longest, chunk_words, unit_pairs)
+
+
+def _phrases(
+    docs: DataFrame, text_col: str, lang_col: str, least: int, longest: int, chunk_words: int, unit_pairs: int
+) -> tuple[DataFrame, DataFrame]:
     chunks = freeze(chunks_of(docs, text_col, lang_col, chunk_words), "chunks")
     listed = chunks.select("chunk", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("place", "w"))
     listed = listed.select("chunk", "lang", "place", F.col("w.words").alias("word"), F.col("w.counts").alias("n")).where("n > 0")
