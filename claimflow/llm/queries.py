@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from claimflow.llm import (
-    collocations, dac, line_join, line_rules, mixing, packing, passages, revisits, runs, shingle_join, topk, wrappers,
+    collocations, dac, licenses, line_join, line_rules, mixing, packing, passages, revisits, runs, shingle_join, topk, wrappers,
 )
 from claimflow.session import scratch_path
 
@@ -136,6 +136,12 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
 SQL["op12_collocations"] = collocations.SQL
 
 
+@query
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and licence texts in every document."""
+    return licenses.summary(licenses.scan_licenses(table(spark, sf_dir, "documents")))
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline over all documents."""
