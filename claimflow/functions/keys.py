@@ -30,6 +30,20 @@ def keyed_dimension(dim: DataFrame, key: str, out: str) -> DataFrame:
     return hashed.select(*dim.columns, (F.col("_hash") + rank * F.lit(16**HASH_DIGITS)).alias(out))
 
 
+def with_new_keys(dim: DataFrame, key: str, sk: str) -> DataFrame:
+    """Fill in the keys that are NULL, next to keys given before, which stay.
+
+    The frame must hold all rows that share a hash. As in `keyed_dimension`, a hash that is taken is passed on with the
+    next rank; the rows before have the ranks from 0 on.
+    """
+    same_hash = Window.partitionBy("_hash")
+    order = same_hash.orderBy(F.col(sk).isNull(), F.col(key).asc_nulls_first())
+    hashed = dim.withColumn("_hash", F.coalesce(hash_key(key), F.lit(UNKNOWN_KEY).cast("bigint")))
+    rank = (F.row_number().over(order) - 1).cast("bigint")
+    new = F.col("_hash") + rank * F.lit(16**HASH_DIGITS)
+    return hashed.withColumn(sk, F.coalesce(F.col(sk), new)).select(*dim.columns)
+
+
 def ranked_keys(dim: DataFrame, key: str, sk: str) -> DataFrame:
     """(natural key, key) of the dimension rows whose key is not the plain hash; normally none."""
     return dim.where(F.col(key).isNotNull() & (F.col(sk) != hash_key(key))).select(key, sk)

@@ -180,6 +180,9 @@ def oracle_sql() -> dict[str, str]:
         for c in DEMOGRAPHIC_COLUMNS
     )
     by_type = f"{MART} SELECT p.insurance_type, {{cols}} FROM fact f LEFT JOIN dim_policy p ON f.policy_sk = p.policy_sk GROUP BY p.insurance_type"
+    newest_customer = f"""{SILVER} SELECT {_CUSTOMER}, txn_date_time, transaction_id FROM (
+  SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY txn_date_time DESC NULLS LAST, transaction_id DESC) AS rn
+  FROM silver) WHERE rn = 1"""
     day_bounds = "SELECT least(min({0}), min({1}), min({2})) AS lo, greatest(max({0}), max({1}), max({2})) AS hi FROM silver"
     return {
         # sources and sinks
@@ -197,6 +200,7 @@ UNION ALL SELECT 'employee', count(*), count(*), CAST(0 AS BIGINT) FROM employee
         "table_scan": all_silver,
         "stream_table_scan": all_claims,
         "publish_table": lower_employee,
+        "publish_over_itself": lower_employee,
         "sql_query": f"""{RAW} SELECT INSURANCE_TYPE, count(DISTINCT POLICY_NUMBER) AS distinct_policies,
   count(*) AS total_claims FROM claims GROUP BY INSURANCE_TYPE""",
         # projections and scalar functions
@@ -236,6 +240,8 @@ HAVING count(SOCIAL_CLASS) > 1 OR count(*) - count(SOCIAL_CLASS) > 0""",
 FROM (SELECT DISTINCT customer_id FROM silver WHERE customer_id IS NOT NULL)""",
         # deduplication
         "stream_distinct_rows": f"{RAW} SELECT DISTINCT * FROM employee",
+        "stream_distinct_wider_rows": f"""{RAW} SELECT *, NULL AS GRADE FROM employee
+UNION SELECT *, CASE WHEN AGENT_ID LIKE '%1' THEN CITY END FROM employee""",
         "stream_dedup_by_key": ids,
         "dedup_customer": f"""{SILVER} SELECT transaction_id, {_CUSTOMER} FROM (SELECT *, row_number() OVER (
   PARTITION BY customer_id ORDER BY transaction_id) AS rn FROM silver) WHERE rn = 1""",
@@ -300,9 +306,8 @@ FROM ({_days(day_bounds.format('CAST(txn_date_time AS DATE)', 'loss_dt', 'report
         "fact_claims": fact,
         "fact_claims_lookup": fact,
         "fact_claims_gated": f"{MART} SELECT * FROM fact",
-        "scd1_upsert": f"""{SILVER} SELECT {_CUSTOMER}, txn_date_time, transaction_id FROM (
-  SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY txn_date_time DESC NULLS LAST, transaction_id DESC) AS rn
-  FROM silver) WHERE rn = 1""",
+        "scd1_upsert": newest_customer,
+        "scd1_upsert_stored": newest_customer,
         "star_integrity": f"""{FACT} SELECT 'fact_rows' AS check_name, count(*) AS row_count FROM fact
 UNION ALL SELECT 'silver_rows', count(*) FROM silver
 UNION ALL SELECT 'duplicate_agent_sk', count(*) - count(DISTINCT agent_sk) FROM dim_agent
@@ -312,6 +317,7 @@ UNION ALL SELECT 'unmatched_agent_sk', count(*) FROM fact WHERE agent_sk IS NULL
 UNION ALL SELECT 'unmatched_customer_sk', count(*) FROM fact WHERE customer_sk IS NULL
 UNION ALL SELECT 'unmatched_policy_sk', count(*) FROM fact WHERE policy_sk IS NULL""",
         "lakehouse_end_to_end": fact,
+        "lakehouse_incremental": fact,
         # marts
         "claims_by_policy_type": by_type.format(cols=f"""count(*) AS claim_count, {_money('claim_amount')} AS total_claim_amount,
   round(CAST(sum(claim_amount) AS DOUBLE) / count(claim_amount), 4) AS avg_claim_amount"""),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,9 +52,9 @@ def dim_policy(silver_claims: DataFrame) -> DataFrame:
     return _claims_dimension(silver_claims, POLICY_ATTRIBUTES, "policy_sk")
 
 
-def _fact_columns(joined: DataFrame) -> DataFrame:
+def _fact_columns(joined: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     return joined.select(
-        "transaction_id", *FACT_KEYS, *[F.col(old).alias(new) for old, new in FACT_MEASURES.items()]
+        "transaction_id", *FACT_KEYS, *[F.col(old).alias(new) for old, new in FACT_MEASURES.items()], *carry
     )
 
 
@@ -82,21 +83,21 @@ def _derived_key(claims: DataFrame, dim: DataFrame, key: str, sk: str) -> DataFr
 
 def fact_claims(
     claims: DataFrame, agents: DataFrame, customers: DataFrame, policies: DataFrame,
-    start: str = CALENDAR_START, end: str = CALENDAR_END,
+    start: str = CALENDAR_START, end: str = CALENDAR_END, carry: Sequence[str] = (),
 ) -> DataFrame:
     """The same fact without shuffling the claims.
 
     Customers and policies are taken from the claims themselves, so each id has its dimension row and
     its key follows from the id; date keys follow from the date and the calendar's bounds. What is
     joined are the agents, of which some are missing, and the few keys that share a hash, normally none.
-    Use `fact_claims_lookup` for dimensions that may lack rows.
+    Use `fact_claims_lookup` for dimensions that may lack rows. Columns to `carry` come last.
     """
     keyed = join_dimension(claims, agents, F.col("agent_id"), "agent_id", "agent_sk")
     keyed = _derived_key(keyed, customers, "customer_id", "customer_sk")
     keyed = _derived_key(keyed, policies, "policy_number", "policy_sk")
     roles = {"txn": F.to_date("txn_date_time"), "loss": F.col("loss_dt"), "report": F.col("report_dt")}
     return _fact_columns(
-        keyed.withColumns({f"{role}_date_sk": calendar_key(day, start, end) for role, day in roles.items()})
+        keyed.withColumns({f"{role}_date_sk": calendar_key(day, start, end) for role, day in roles.items()}), carry
     )
 
 

@@ -138,6 +138,14 @@ def publish_table(spark, sf):
     )
 
 
+@query
+def publish_over_itself(spark, sf):
+    """A table replaced by its own distinct rows."""
+    root = scratch_path(spark, "lake")
+    rows = tables.publish(fx.raw_employee(spark, sf), root, "silver", "silver_employee", "Employee rows as they came")
+    return tables.publish(silver.silver_employee(rows), root, "silver", "silver_employee", "Distinct employee rows")
+
+
 @query
 def sql_query(spark, sf):
     return tables.run_sql(
@@ -264,6 +272,20 @@ def stream_distinct_rows(spark, sf):
     return through_sink(stream_dedup.distinct_rows_stream(rows), "distinct", fx.state_size(spark, sf))
 
 
+@query
+def stream_distinct_wider_rows(spark, sf):
+    """Distinct rows of a feed delivered again by a second run in which half of the rows have a new column."""
+    employee, root = fx.raw_employee(spark, sf), scratch_path(spark, "wider")
+    grade = F.when(F.col("AGENT_ID").like("%1"), F.col("CITY"))
+    for drop in (employee, employee.withColumn("GRADE", grade)):
+        drop.write.mode("append").parquet(f"{root}/in")
+        rows = spark.readStream.schema(drop.schema).option("maxFileAge", "36500d").parquet(f"{root}/in")
+        with stream_state(spark, fx.state_size(spark, sf)):
+            distinct = stream_dedup.distinct_rows_stream(rows)
+            run_available_now(append_sink(distinct, f"{root}/table", f"{root}/checkpoint"))
+    return spark.read.schema(rows.schema).parquet(f"{root}/table")
+
+
 @query
 def stream_dedup_by_key(spark, sf):
     rows = fx.stream_of(fx.raw_claims, spark, sf)
@@ -543,6 +565,19 @@ def scd1_upsert(spark, sf):
     return local_times(scd.scd1_upsert(rows.where(before), rows.where(~before), "customer_id", order))
 
 
+@query
+def scd1_upsert_stored(spark, sf):
+    """The same on a stored dimension: buckets that no claim since 2018 changes keep their files."""
+    order, root = ["txn_date_time", "transaction_id"], scratch_path(spark, "lake")
+    rows = fx.silver_claims(spark, sf).select(*CUSTOMER_ATTRIBUTES, *order)
+    before = F.coalesce(F.col("txn_date_time") < F.to_timestamp(F.lit("2018-01-01 00:00:00")), F.lit(True))
+    for some in (rows.where(before), rows.where(~before)):
+        stored = scd.upsert_stored(
+            some, root, "gold", "dim_customer", "Customers", "customer_id", scd.newest_first(order), order,
+        )
+    return local_times(stored.drop(scd.BUCKET))
+
+
 @query
 def star_integrity(spark, sf):
     dims = dict(zip(("agent_sk", "customer_sk", "policy_sk"), _dims(spark, sf)))
@@ -555,6 +590,24 @@ def lakehouse_end_to_end(spark, sf):
     return end_to_end.run_pipeline(spark, raw, scratch_path(spark, "lake"))
 
 
+@query
+def lakehouse_incremental(spark, sf):
+    """The fact after three runs, each on what is new: claims and half of the agents, more claims, the other agents.
+
+    Ids are unique in the landed claims, so that the first arrival of an id is the defined survivor.
+    """
+    raw, root = scratch_path(spark, "landing"), scratch_path(spark, "lake")
+    claims, employee = dedup_claims(fx.raw_claims(spark, sf)), fx.raw_employee(spark, sf)
+    total, odd = F.col("INCIDENT_SEVERITY") == "Total Loss", F.col("AGENT_ID").rlike("[13579]$")
+    drops = [(claims.where(~total), employee.where(odd)), (claims.where(total), None), (None, employee.where(~odd))]
+    for drop in drops:
+        for feed, rows in zip(end_to_end.FEEDS, drop):
+            if rows is not None:
+                rows.write.mode("append").option("header", True).csv(f"{raw}/{feed}")
+        fact = end_to_end.run_pipeline(spark, raw, root, incremental=True)
+    return fact
+
+
 # Marts
 
 

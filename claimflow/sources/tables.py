@@ -183,7 +183,7 @@ def _register(spark: SparkSession, path: str, layer: str, name: str, new: Manife
         return
     folders = sorted(new.folders.values())
     files = f"{path}/{folders[0]}" if len(folders) == 1 else f"{path}/{{{','.join(folders)}}}"
-    columns = ", ".join(f"`{f.name}`" for f in new.schema if f.name != new.part_column)
+    columns = ", ".join(f"`{f.name}`" for f in new.schema if not f.name.startswith("_"))  # not the table's own
     spark.sql(
         f"CREATE OR REPLACE VIEW `{database}`.`{entry}` COMMENT {_quoted(comment)}"
         f" TBLPROPERTIES ({_quoted(OWNER)} = {_quoted(path)}) AS SELECT {columns} FROM parquet.`{files}`"
