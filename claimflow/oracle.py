@@ -197,6 +197,16 @@ FROM claims, (VALUES (1), (2), (3)) AS r(run) GROUP BY run""",
         "landing_reconciliation": f"""{RAW}
 SELECT 'claims' AS feed, count(*) AS landed, count(*) AS loaded, CAST(0 AS BIGINT) AS difference FROM claims
 UNION ALL SELECT 'employee', count(*), count(*), CAST(0 AS BIGINT) FROM employee""",
+        "reconciliation_ledger": f"""{RAW} SELECT run, n AS landed, n AS loaded, CAST(0 AS BIGINT) AS difference FROM (
+  SELECT CAST(1 AS INTEGER) AS run, count(*) AS n FROM claims WHERE INCIDENT_SEVERITY <> 'Total Loss'
+  UNION ALL SELECT 2, 0
+  UNION ALL SELECT 3, count(*) FROM claims WHERE INCIDENT_SEVERITY = 'Total Loss')""",
+        "schema_drift_report": f"""{RAW}, late AS (SELECT * FROM claims WHERE INCIDENT_SEVERITY = 'Total Loss')
+SELECT column_name, stored_type, seen_type, bad_values FROM (
+  SELECT 'CLAIM_AMOUNT' AS column_name, 'double' AS stored_type, 'string' AS seen_type, count(*) AS bad_values FROM late
+  UNION ALL SELECT 'AGE', 'int', 'double', count(AGE) FROM late
+  UNION ALL SELECT 'LOSS_DT', 'date', 'timestamp', count(LOSS_DT) FROM late
+  UNION ALL SELECT 'ROUTING_NUMBER', 'int', 'bigint', count(ROUTING_NUMBER) FROM late) WHERE bad_values > 0""",
         "table_scan": all_silver,
         "stream_table_scan": all_claims,
         "publish_table": lower_employee,

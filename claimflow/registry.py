@@ -17,7 +17,7 @@ from claimflow.schemas import (
     AGENT_RENAMES, CLAIM_TYPES, CUSTOMER_ATTRIBUTES, DEMOGRAPHIC_COLUMNS, POLICY_ATTRIBUTES,
 )
 from claimflow.session import scratch_path
-from claimflow.sources import csv_files, tables
+from claimflow.sources import csv_files, drift, ledger, tables
 from claimflow.sources.csv_files import SOURCE_FILE
 from claimflow.streaming import dedup as stream_dedup
 from claimflow.streaming.gate import quality_gate_stream, read_gate
@@ -116,6 +116,38 @@ def landing_reconciliation(spark, sf):
     return totals[0].unionAll(totals[1])
 
 
+@query
+def reconciliation_ledger(spark, sf):
+    """What each of three runs counted: a drop of claims, nothing new, a second drop."""
+    claims, root = fx.raw_claims(spark, sf), scratch_path(spark, "ledger")
+    early, late = (claims.where(f"INCIDENT_SEVERITY {op} 'Total Loss'") for op in ("<>", "="))
+    runs = []
+    for run, drop in enumerate((early, None, late), 1):
+        if drop is not None:
+            drop.write.mode("append").option("header", True).csv(f"{root}/landing")
+            fx.load_bronze(spark, f"{root}/landing", root, "claims")
+        files = ledger.settle(spark, f"{root}/landing", f"{root}/bronze/claims", root, "claims")
+        total = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("landed", "loaded", "difference")]
+        runs.append(files.agg(*total).select(F.lit(run).alias("run"), "*"))
+    return runs[0].unionAll(runs[1]).unionAll(runs[2])
+
+
+@query
+def schema_drift_report(spark, sf):
+    """Columns of a second drop that do not fit the types of the first, over its files."""
+    claims, root = fx.raw_claims(spark, sf), scratch_path(spark, "drift")
+    early, late = (claims.where(f"INCIDENT_SEVERITY {op} 'Total Loss'") for op in ("<>", "="))
+    early.write.option("header", True).csv(f"{root}/landing")
+    stored = csv_files.load_or_infer_schema(spark, f"{root}/landing", f"{root}/schema")
+    changed = late.withColumns({
+        "CLAIM_AMOUNT": F.lit("n/a"), "AGE": F.concat("AGE", F.lit(".5")), "LOSS_DT": F.concat("LOSS_DT", F.lit(" 08:00:00")),
+        "ROUTING_NUMBER": F.concat("ROUTING_NUMBER", F.lit("000")),
+    })
+    changed.write.mode("append").option("header", True).csv(f"{root}/landing")
+    found = drift.type_drift(spark, f"{root}/landing", stored)
+    return found.groupBy("column_name", "stored_type", "seen_type").agg(F.sum("bad_values").alias("bad_values"))
+
+
 @query
 def table_scan(spark, sf):
     root = scratch_path(spark, "lake")
