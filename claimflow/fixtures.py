@@ -11,6 +11,7 @@ from claimflow.operators.quality import claim_rules, clean
 from claimflow.plans import gold, silver
 from claimflow.schemas import CALENDAR_END, CALENDAR_START
 from claimflow.session import fit_shuffle, scratch_path, shuffle_partitions_for, stored_bytes
+from claimflow.sources.files import list_names
 from claimflow.streaming.ingest import ingest, read_bronze
 
 # One text for Spark and DuckDB; the braces take the table names. The small tables come first, so
@@ -169,6 +170,13 @@ def stream_of(layer, spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     return spark.readStream.schema(schema).option("maxFileAge", "36500d").options(**options).parquet(path)
 
 
+def stored_files(layer, spark: SparkSession, sf_dir: str) -> int:
+    """Number of files of one of the layers above."""
+    layer(spark, sf_dir)
+    path, _ = _once(spark, sf_dir, layer.__name__, None)
+    return max(1, sum(name.endswith(".parquet") for name in list_names(spark, path)))
+
+
 def landing(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     """Both feeds as folders of header CSV files."""
 

@@ -82,7 +82,8 @@ def split(df: DataFrame, rules: list[Rule]) -> tuple[DataFrame, DataFrame]:
     return clean(df, rules), quarantined(df, rules)
 
 
-def _metrics(rules: list[Rule]) -> list[Column]:
+def rule_counts(rules: list[Rule]) -> list[Column]:
+    """Aggregates for the rows and each rule's hits."""
     return [
         F.count(F.lit(1)).alias("rows_seen"),
         *[F.count_if(r.violated).alias(r.name) for r in rules],
@@ -91,7 +92,7 @@ def _metrics(rules: list[Rule]) -> list[Column]:
 
 def rule_metrics(df: DataFrame, rules: list[Rule]) -> DataFrame:
     """Per rule: rows seen, rows failed, action. One aggregate, whatever the number of rules."""
-    totals = df.agg(*_metrics(rules))
+    totals = df.agg(*rule_counts(rules))
     return totals.select(F.inline(F.array(*[
         F.struct(
             F.lit(r.name).alias("rule"), F.lit(r.action).alias("action"),
@@ -103,4 +104,4 @@ def rule_metrics(df: DataFrame, rules: list[Rule]) -> DataFrame:
 
 def observe_rules(df: DataFrame, rules: list[Rule], name: str = "quality") -> DataFrame:
     """The same numbers as a side metric of whatever job or stream consumes the frame."""
-    return df.observe(name, *_metrics(rules))
+    return df.observe(name, *rule_counts(rules))

@@ -180,6 +180,14 @@ def oracle_sql() -> dict[str, str]:
         for c in DEMOGRAPHIC_COLUMNS
     )
     by_type = f"{MART} SELECT p.insurance_type, {{cols}} FROM fact f LEFT JOIN dim_policy p ON f.policy_sk = p.policy_sk GROUP BY p.insurance_type"
+    rule_metrics = f"""{SILVER}, hits AS (
+  SELECT 'invalid_amount' AS rule, 'quarantine' AS action, (claim_amount IS NULL OR claim_amount <= 0) AS hit FROM silver
+  UNION ALL SELECT 'missing_customer', 'quarantine', coalesce(trim(customer_id), '') = '' FROM silver
+  UNION ALL SELECT 'missing_agent', 'quarantine', coalesce(trim(agent_id), '') = '' FROM silver
+  UNION ALL SELECT 'missing_policy', 'quarantine', coalesce(trim(policy_number), '') = '' FROM silver
+  UNION ALL SELECT 'policy_after_loss', 'drop', {_DROP} FROM silver
+  UNION ALL SELECT 'late_report', 'flag', {_LATE} FROM silver)
+SELECT rule, action, count(*) AS rows_seen, count(*) FILTER (WHERE hit) AS rows_failed FROM hits GROUP BY rule, action"""
     newest_customer = f"""{SILVER} SELECT {_CUSTOMER}, txn_date_time, transaction_id FROM (
   SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY txn_date_time DESC NULLS LAST, transaction_id DESC) AS rn
   FROM silver) WHERE rn = 1"""
@@ -259,6 +267,10 @@ UNION SELECT *, CASE WHEN AGENT_ID LIKE '%1' THEN CITY END FROM employee""",
   SELECT *, row_number() OVER (PARTITION BY policy_number ORDER BY transaction_id) AS rn FROM silver) WHERE rn = 1""",
         "dedup_claims_deterministic": f"{DEDUPED} SELECT * FROM deduped",
         "stream_dedup_bounded": "SELECT DISTINCT event_id, ts, user_id, event_type, value FROM events",
+        "stream_late_rows": """WITH behind AS (
+  SELECT *, ts < (SELECT max(ts) FROM events WHERE event_id % 2 = 0) - INTERVAL 6 HOUR AS is_late FROM events)
+SELECT 'first' AS outcome, event_id, ts, user_id, event_type, value FROM behind WHERE event_id % 2 = 0 OR NOT is_late
+UNION ALL SELECT 'late', event_id, ts, user_id, event_type, value FROM behind WHERE is_late""",
         # joins
         "join_agent_sk": _keyed("agent_id", "agent_sk", "dim_agent"),
         "join_customer_sk": _keyed("customer_id", "customer_sk", "dim_customer"),
@@ -282,6 +294,9 @@ UNION ALL SELECT 'employee', count(*) FROM employee""",
         "demographic_null_profile": f"{RAW} {demographics}",
         "demographic_group_counts": f"{RAW} {group_counts}",
         "demographic_inconsistencies": f"{RAW} {inconsistent}",
+        "incremental_null_counts": _null_counts("claims", DEMOGRAPHIC_COLUMNS),
+        "incremental_null_profile": f"{RAW} {demographics}",
+        "incremental_inconsistencies": f"{RAW} {inconsistent}",
         "distinct_policies_vs_claims": f"""{RAW} SELECT count(DISTINCT POLICY_NUMBER) AS distinct_policies,
   count(*) AS total_claims FROM claims""",
         "table_preview": f"{RAW} SELECT * FROM claims ORDER BY {_CLAIM_ORDER} LIMIT 5",
@@ -294,14 +309,8 @@ UNION ALL SELECT 'employee', count(*) FROM employee""",
         "flag_late_report": f"{SILVER} SELECT transaction_id, reporting_lag_days, {_LATE} AS is_late_reported FROM silver",
         "quarantine_claims": f"{SILVER} SELECT *, {_REASONS} AS reasons FROM silver WHERE {_QUARANTINE}",
         "clean_claims": f"{GATED} SELECT * FROM gated",
-        "quality_metrics": f"""{SILVER}, hits AS (
-  SELECT 'invalid_amount' AS rule, 'quarantine' AS action, (claim_amount IS NULL OR claim_amount <= 0) AS hit FROM silver
-  UNION ALL SELECT 'missing_customer', 'quarantine', coalesce(trim(customer_id), '') = '' FROM silver
-  UNION ALL SELECT 'missing_agent', 'quarantine', coalesce(trim(agent_id), '') = '' FROM silver
-  UNION ALL SELECT 'missing_policy', 'quarantine', coalesce(trim(policy_number), '') = '' FROM silver
-  UNION ALL SELECT 'policy_after_loss', 'drop', {_DROP} FROM silver
-  UNION ALL SELECT 'late_report', 'flag', {_LATE} FROM silver)
-SELECT rule, action, count(*) AS rows_seen, count(*) FILTER (WHERE hit) AS rows_failed FROM hits GROUP BY rule, action""",
+        "quality_metrics": rule_metrics,
+        "stream_quality_metrics": rule_metrics,
         "stream_quality_gate": f"""{SILVER} SELECT CASE WHEN {_QUARANTINE} THEN 'quarantine' ELSE 'clean' END AS outcome,
   transaction_id, claim_amount, {_LATE} AS is_late_reported,
   CASE WHEN {_QUARANTINE} THEN {_REASONS} ELSE '' END AS reasons FROM silver WHERE {_QUARANTINE} OR NOT {_DROP}""",

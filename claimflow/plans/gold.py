@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimflow.functions.dates import calendar_key, date_key, date_parts, date_spine, is_weekend
 from claimflow.functions.keys import hash_key, keyed_dimension, ranked_keys
 from claimflow.operators.dedup import dedup_first, source_order
-from claimflow.operators.joins import join_date_role, join_dimension, orphans
+from claimflow.operators.joins import join_date_role, join_dimension
 from claimflow.operators.project import rename_select
 from claimflow.schemas import (
     AGENT_RENAMES, CALENDAR_END, CALENDAR_START, CUSTOMER_ATTRIBUTES, FACT_KEYS, FACT_MEASURES, POLICY_ATTRIBUTES,
@@ -104,17 +104,30 @@ def fact_claims(
 def star_integrity(fact: DataFrame, silver: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     """(check_name, row_count): the grain of the fact, duplicate dimension keys, fact rows without a match.
 
-    `dims` maps a dimension's key column to the dimension.
+    `dims` maps a dimension's key column to the dimension. The fact is scanned once: its keys are counted per column and
+    value before they are sent, and meet the dimensions' keys in the same grouping.
     """
+    first = next(iter(dims))
+    in_fact = fact.select(F.inline(F.array(*[
+        F.struct(F.lit(sk).alias("name"), F.col(sk).cast("bigint").alias("sk")) for sk in dims
+    ]))).select("*", F.lit(1).alias("in_fact"), F.lit(0).alias("in_dim"))
+    in_dims = [
+        dim.select(F.lit(sk).alias("name"), F.col(sk).cast("bigint").alias("sk"), F.lit(0).alias("in_fact"), F.lit(1).alias("in_dim"))
+        for sk, dim in dims.items()
+    ]
+    per_key = reduce(DataFrame.unionAll, in_dims, in_fact).groupBy("name", "sk").agg(
+        F.sum("in_fact").alias("in_fact"), F.sum("in_dim").alias("in_dim")
+    )
+    missing = F.col("sk").isNull() | (F.col("in_dim") == 0)
+    per_dim = per_key.groupBy("name").agg(
+        F.count_if(F.col("in_dim") > 1).alias("duplicate"), F.sum("in_fact").alias("fact_rows"),
+        F.coalesce(F.sum(F.when(missing, F.col("in_fact"))), F.lit(0)).alias("unmatched"),
+    )
+
+    def check(name: Column, count: Column) -> Column:
+        return F.struct(name.alias("check_name"), count.alias("row_count"))
 
-    def total(name: str, df: DataFrame) -> DataFrame:
-        return df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("check_name"), "row_count")
-
-    checks = [total("fact_rows", fact), total("silver_rows", silver)]
-    for sk, dim in dims.items():
-        repeated = dim.groupBy(sk).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-        checks.append(total(f"duplicate_{sk}", repeated))
-        checks.append(
-            orphans(fact, dim, sk).select(F.lit(f"unmatched_{sk}").alias("check_name"), "orphan_count")
-        )
-    return reduce(DataFrame.unionAll, checks)
+    of_dim = [check(F.concat_ws("_", F.lit(kind), F.col("name")), F.col(kind)) for kind in ("duplicate", "unmatched")]
+    rows = F.when(F.col("name") == first, check(F.lit("fact_rows"), F.col("fact_rows")))
+    silver_rows = silver.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit("silver_rows").alias("check_name"), "row_count")
+    return per_dim.select(F.inline(F.array_compact(F.array(*of_dim, rows)))).unionAll(silver_rows)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from claimflow import fixtures as fx
 from claimflow.functions import dates
 from claimflow.functions.keys import hash_key, with_dense_key
-from claimflow.operators import joins, profiling, project, quality, scd
+from claimflow.operators import joins, profile_state, profiling, project, quality, scd
 from claimflow.operators.dedup import dedup_claims, dedup_first
 from claimflow.plans import end_to_end, gold, marts, silver
 from claimflow.schemas import (
@@ -20,7 +21,8 @@ from claimflow.session import scratch_path
 from claimflow.sources import csv_files, drift, ledger, tables
 from claimflow.sources.csv_files import SOURCE_FILE
 from claimflow.streaming import dedup as stream_dedup
-from claimflow.streaming.gate import quality_gate_stream, read_gate
+from claimflow.streaming import late
+from claimflow.streaming.gate import quality_gate_stream, read_gate, read_gate_metrics
 from claimflow.streaming.ingest import ingest, read_bronze
 from claimflow.streaming.silver import silver_claims_stream
 from claimflow.streaming.sinks import append_sink, run_available_now, stream_state
@@ -353,6 +355,19 @@ def stream_dedup_bounded(spark, sf):
     return local_times(through_sink(once, "events", fx.state_size(spark, sf)))
 
 
+@query
+def stream_late_rows(spark, sf):
+    """Events with even ids, then all events: those behind the watermark of six hours are stored as late."""
+    events = fx.table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    root, rows = scratch_path(spark, "late"), events.select("event_id", "ts", "user_id", "event_type", "value")
+    for drop in (rows.where("event_id % 2 = 0"), rows):
+        drop.coalesce(1).write.mode("append").parquet(f"{root}/in")
+        feed = spark.readStream.schema(rows.schema).option("maxFileAge", "36500d").parquet(f"{root}/in")
+        late.dedup_with_late_rows(feed, ["event_id"], "ts", dt.timedelta(hours=6), f"{root}/out", f"{root}/checkpoint")
+    found = [late.read_outcome(spark, f"{root}/out", o).select(F.lit(o).alias("outcome"), *rows.columns) for o in late.OUTCOMES]
+    return local_times(found[0].unionAll(found[1]))
+
+
 # Joins
 
 
@@ -462,6 +477,33 @@ def demographic_inconsistencies(spark, sf):
     return profiling.inconsistent_keys(fx.raw_claims(spark, sf), "CUSTOMER_ID", DEMOGRAPHIC_COLUMNS)
 
 
+def _profiled(spark, sf) -> DataFrame:
+    """The state after two drops of claims, each profiled when it came."""
+    claims, root = fx.raw_claims(spark, sf), scratch_path(spark, "profile")
+    total = F.col("INCIDENT_SEVERITY") == "Total Loss"
+    for drop in (claims.where(~total), claims.where(total)):
+        drop.write.mode("append").parquet(f"{root}/claims")
+        state = profile_state.advance_profile(
+            spark, f"{root}/claims", claims.schema, root, "demographics", "CUSTOMER_ID", DEMOGRAPHIC_COLUMNS
+        )
+    return state
+
+
+@query
+def incremental_null_counts(spark, sf):
+    return profile_state.null_counts_of(_profiled(spark, sf))
+
+
+@query
+def incremental_null_profile(spark, sf):
+    return profile_state.null_profile_of(_profiled(spark, sf), "CUSTOMER_ID")
+
+
+@query
+def incremental_inconsistencies(spark, sf):
+    return profile_state.inconsistent_keys_of(_profiled(spark, sf), "CUSTOMER_ID")
+
+
 @query
 def distinct_policies_vs_claims(spark, sf):
     return profiling.distinct_vs_total(fx.raw_claims(spark, sf), "POLICY_NUMBER")
@@ -534,6 +576,15 @@ def stream_quality_gate(spark, sf):
     )
 
 
+@query
+def stream_quality_metrics(spark, sf):
+    """Rule counts stored per micro-batch, added up; a batch is one file here."""
+    root = scratch_path(spark, "gate")
+    rows = fx.stream_of(fx.silver_claims, spark, sf, maxFilesPerTrigger=1)
+    quality_gate_stream(rows, quality.claim_rules(), f"{root}/out", f"{root}/checkpoint")
+    return read_gate_metrics(spark, f"{root}/out")
+
+
 # Silver and gold tables
 
 
@@ -692,7 +743,9 @@ def weekend_vs_weekday_claims(spark, sf):
 
 @query
 def stream_available_now(spark, sf):
-    rows = fx.stream_of(fx.raw_claims, spark, sf, maxBytesPerTrigger=200 << 30)
+    """A run of about four micro-batches, bounded by files."""
+    files = fx.stored_files(fx.raw_claims, spark, sf)
+    rows = fx.stream_of(fx.raw_claims, spark, sf, maxFilesPerTrigger=-(-files // 4))
     return through_sink(rows.select("TRANSACTION_ID", "CLAIM_STATUS", "LOSS_DT"), "drained")
 
 

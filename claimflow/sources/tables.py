@@ -175,7 +175,12 @@ def catalog_name(spark: SparkSession, root: str, layer: str, name: str) -> str:
 
 
 def _register(spark: SparkSession, path: str, layer: str, name: str, new: Manifest, comment: str) -> None:
-    """A view of the version's folders. Folders with fewer columns than others cannot be read by one view."""
+    """A view of the version's folders. Folders with fewer columns than others cannot be read by one view.
+
+    Names that start with an underscore are a table's own columns and a job's own layers; they are not shown.
+    """
+    if layer.startswith("_"):
+        return
     database, _, entry = catalog_name(spark, path[: -len(f"/{layer}/{name}")], layer, name).partition(".")
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
     if new.widened or not new.folders:

@@ -99,6 +99,11 @@ def test_fact_moves_no_claims(spark):
     assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
 
 
+def test_integrity_scans_the_fact_once(spark):
+    plan = plan_of(QUERIES["star_integrity"](spark, SF_DIR))
+    assert plan.count("/fact_claims-") == 1 and "Join" not in plan
+
+
 def test_shuffle_sizing():
     assert shuffle_partitions_for(0, at_least=8) == 8
     assert shuffle_partitions_for(100 << 40) == (100 << 40) // SHUFFLE_TARGET_BYTES

@@ -75,5 +75,5 @@ def test_metrics_and_observation_agree(claim):
     metrics = {r.rule: r.rows_failed for r in quality.rule_metrics(silver, rules).collect()}
     assert metrics["invalid_amount"] == 4 and metrics["policy_after_loss"] == 2
     seen = Observation("quality")
-    silver.observe(seen, *quality._metrics(rules)).count()
+    silver.observe(seen, *quality.rule_counts(rules)).count()
     assert {k: v for k, v in seen.get.items() if k != "rows_seen"} == metrics
