@@ -117,9 +117,10 @@ def worker_memo(key: tuple, build):
     return memo[key]
 
 
-# Unicode White_Space, and letters among ASCII and Latin that no tokenizer's pattern counts as anything else.
+# Unicode White_Space, and letters among ASCII and Latin that no tokenizer's pattern counts as anything else. Capital
+# dotted I is left out: its small form ends in a combining mark, which goes with the signs after it.
 _SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-_LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
+_LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ɏ"
 _PIECE = re.compile(
     f"[{_SPACE}]*[{_LETTERS}]+(?=[\\x00-@\\[-`{{-\\x7f]|\\Z)|[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+"
 )

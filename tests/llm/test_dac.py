@@ -26,6 +26,18 @@ def test_pieces_give_the_ids_of_the_whole_text(name, text):
     assert np.frombuffer(encoder.encode([text, None])[0], "<u4").tolist() == want
 
 
+@pytest.mark.parametrize("name", FILES)
+def test_every_letter_before_every_ascii_sign(name):
+    """With and without a character beyond Latin, which decides how a text is cut."""
+    encoder = Encoder.shared(public_tokenizers.path(name))
+    signs = [chr(c) for c in range(0x21, 0x7F) if not chr(c).isalnum()]
+    texts = [f"a{chr(c)}{s}b {end}" for c in [*range(1, 0x250), 0x307, 0x338, 0x3A3, 0x1E9E, 0xFB01] for s in signs for end in ("", "“")]
+    texts += ["TÜRKİ, “evet”", "RESMİ: 5 – 6", "İ", "İİ.", "Iİi, ı“"]
+    want = encoder.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+    wrong = [t for t, ids, w in zip(texts, encoder.encode(texts), want) if np.frombuffer(ids, "<u4").tolist() != w.ids]
+    assert not wrong, wrong[:20]
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.lists(st.one_of(st.integers(0, 300), st.integers(0, 2**32 - 1)), max_size=900), max_size=4))
 def test_image_round_trip_and_random_access(docs):
