@@ -137,13 +137,13 @@ class Encoder:
     Where the file itself folds case and drops white space, texts of ASCII and Latin letters are looked up that way.
     """
 
-    def __init__(self, path: str, most_pieces: int = 1 << 20, longest: int = 64):
+    def __init__(self, path: str, most_pieces: int = 1 << 19, longest: int = 64):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.most, self.longest = most_pieces, longest
-        self.known: dict[str, bytes] = {}
+        self._forget()
         spec = json.loads(self.tokenizer.to_str())
         steps = [spec["normalizer"] or {}, *(spec["normalizer"] or {}).get("normalizers", [])]
         split = ((spec["pre_tokenizer"] or {}).get("pretokenizers") or [{}])[0]
@@ -162,25 +162,42 @@ class Encoder:
     def shared(cls, path: str) -> Encoder:
         return worker_memo(("encoder", path), lambda: cls(path))
 
+    def _forget(self) -> None:
+        self.number, self.ids = _Numbers(), []
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """One byte string per text; null counts as empty."""
-        cut = [self._cut(t) for t in texts]
-        if len(self.known) > self.most:
-            self.known.clear()
-        need = set()
-        for pieces in cut:
-            need.update(pieces)
-        need.difference_update(self.known)
-        need = list(need)
-        coded = self.tokenizer.encode_batch_fast(need, add_special_tokens=False)
-        self.known.update((p, array("I", c.ids).tobytes()) for p, c in zip(need, coded))
-        out = [b"".join(map(self.known.__getitem__, pieces)) for pieces in cut]
-        for p in need:
-            if len(p) > self.longest:
-                del self.known[p]
+        if len(self.ids) > self.most:
+            self._forget()
+        number, first = self.number, len(self.ids)
+        # Each piece is looked up once: pieces not met before get the next numbers.
+        numbers = [list(map(number.__getitem__, self._cut(t))) for t in texts]
+        new, number.new = number.new, []
+        coded = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
+        self.ids.extend(array("I", c.ids).tobytes() for c in coded)
+        ids_of = self.ids.__getitem__
+        out = [b"".join(map(ids_of, n)) for n in numbers]
+        for i, piece in enumerate(new, first):
+            if len(piece) > self.longest:  # met again it gets another number
+                del number[piece]
+                self.ids[i] = b""
         return out
 
 
+class _Numbers(dict):
+    """Numbers pieces in the order they are met, and lists those that are new."""
+
+    def __init__(self):
+        self.new: list[str] = []
+        self.met = 0
+
+    def __missing__(self, piece: str) -> int:
+        self[piece] = n = self.met
+        self.met += 1
+        self.new.append(piece)
+        return n
+
+
 def in_portions(rows, size, most: int):
     """Lists of consecutive rows with a total `size` of about `most` at most, one row at least."""
     part, total = [], 0
