@@ -128,6 +128,9 @@ _BARE_PIECE = re.compile(f"[{_LETTERS}]+(?=[\\x00-@\\[-`{{-\\x7f]|\\Z)|[^{_SPACE
 _BEYOND_LATIN = re.compile("[\u0250-\U0010ffff]")
 
 
+PIECES = 1 << 20  # pieces of up to 64 characters that a worker remembers, some 250 MB
+
+
 class Encoder:
     """Token ids as little-endian unsigned 32-bit integers, by a file of the tokenizers library.
 
@@ -137,7 +140,7 @@ class Encoder:
     Where the file itself folds case and drops white space, texts of ASCII and Latin letters are looked up that way.
     """
 
-    def __init__(self, path: str, most_pieces: int = 1 << 19, longest: int = 64):
+    def __init__(self, path: str, most_pieces: int = PIECES, longest: int = 64):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -159,8 +162,8 @@ class Encoder:
         return _PIECE.findall(text)
 
     @classmethod
-    def shared(cls, path: str) -> Encoder:
-        return worker_memo(("encoder", path), lambda: cls(path))
+    def shared(cls, path: str, most_pieces: int = PIECES) -> Encoder:
+        return worker_memo(("encoder", path, most_pieces), lambda: cls(path, most_pieces))
 
     def _forget(self) -> None:
         self.number, self.ids = _Numbers(), []
