@@ -62,7 +62,10 @@ def clean_lines(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     words = F.filter(F.split(text, SPACE + "+"), lambda w: w != "")
-    step = docs.drop("rules").withColumns({"_words": words, "_lines": F.split(text, "\n")})
+    # The row goes along as one column, so that no name of it meets those of the steps.
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c.lower() != "rules"])
+    step = docs.select(row.alias("row"), text.alias("_text"), words.alias("_words"), F.split(text, "\n").alias("_lines"))
+    given, text = F.col("row").getField(text_col).isNotNull(), F.col("_text")
 
     def window(word: Column, i: Column) -> Column:
         return F.xxhash64(word, F.get("_words", i + 1), F.get("_words", i + 2))
@@ -85,13 +88,13 @@ def clean_lines(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
     spans = F.flatten(F.array_compact(F.transform("_sorted", covered)))
     step = step.withColumns({
-        "_repeat": F.coalesce(F.size(F.array_distinct(spans)), F.lit(0)), "_chars": total_length(F.col("_full")),
+        "_repeat": F.when(F.col("_sorted").isNotNull(), F.size(F.array_distinct(spans))).otherwise(0), "_chars": total_length(F.col("_full")),
         "_kept_chars": total_length(F.filter("_left", has_word)), "_n": F.size("_words"),
     })
     base_failed = (F.col("_n") < FEWEST_WORDS) | (100 * F.col("_repeat") > MOST_REPEATED * F.col("_n"))
     lost = F.col("_chars") - F.col("_kept_chars")
     rules = F.struct(
-        F.when(F.col(text_col).isNotNull(), F.array_join("_left", "\n")).alias("text"),
+        F.when(given, F.array_join("_left", "\n")).alias("text"),
         F.col("_n").cast("long").alias("n_words"),
         F.char_length(F.array_join("_words", "")).cast("long").alias("word_chars"),
         symbols(text).cast("long").alias("n_symbols"),
@@ -101,7 +104,7 @@ def clean_lines(docs: DataFrame, text_col: str = "text") -> DataFrame:
         base_failed.alias("base_failed"),
         (~base_failed & (100 * lost <= MOST_LOST * F.col("_chars"))).alias("kept"),
     )
-    return step.select(*[F.col(f"`{c}`") for c in docs.columns if c != "rules"], rules.alias("rules"))
+    return step.select("row.*", rules.alias("rules"))
 
 
 # The same in DuckDB. A window is compared as text, not by its hash.

@@ -83,3 +83,18 @@ def test_labels(spark):
     got = {(r.quality, r.kept): r["count"] for r in rows.filter("n_words >= 50").groupBy("quality", "kept").count().collect()}
     assert got.get((1, False), 0) <= 0.01 * got[(1, True)]
     assert got.get((0, True), 0) <= 0.05 * got[(0, False)]
+
+
+def test_other_columns_may_have_any_name_and_ansi_be_off(spark):
+    names = ["_words", "_lines", "_windows", "_full", "_left", "_sorted", "_repeat", "_chars", "_kept_chars", "_n", "_text", "row"]
+    rows = [(1, "one two three.\nfour five six.", *range(12)), (2, "a b c " * 40, *range(12)), (None, None, *range(12))]
+    df = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{n} int" for n in names))
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    try:
+        for ansi in ("true", "false"):
+            spark.conf.set("spark.sql.ansi.enabled", ansi)
+            got = line_rules.clean_lines(df)
+            assert got.columns == [*df.columns, "rules"] and [tuple(r)[2:14] for r in got.collect()] == [tuple(range(12))] * 3
+            assert {r.doc_id: r.rules.n_repeat_words for r in got.collect()} == {1: 0, 2: 120, None: 0}
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
