@@ -6,6 +6,7 @@ import math
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -76,6 +77,20 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/claimflow/{app}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+@contextmanager
+def scratch_tables():
+    """Collects the paths of the tables that `freeze` writes inside."""
+    made: list[str] = []
+    _listening.append(made)
+    try:
+        yield made
+    finally:
+        _listening.remove(made)
+
+
+_listening: list[list[str]] = []
+
+
 def freeze(df: DataFrame, label: str = "frozen") -> DataFrame:
     """Cut lineage by writing a table to the shared folder and reading it back.
 
@@ -84,5 +99,7 @@ def freeze(df: DataFrame, label: str = "frozen") -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
+    for made in _listening:
+        made.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
