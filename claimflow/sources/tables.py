@@ -182,13 +182,14 @@ def _register(spark: SparkSession, path: str, layer: str, name: str, new: Manife
     if layer.startswith("_"):
         return
     database, _, entry = catalog_name(spark, path[: -len(f"/{layer}/{name}")], layer, name).partition(".")
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
-    if new.widened or not new.folders:
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION {_quoted(path[: -len(name) - 1])}")
+    # A part column is in the folders' names only, which a view over some of them does not read.
+    columns = ", ".join(f"`{f.name}`" for f in new.schema if not f.name.startswith("_") and f.name != new.part_column)
+    if new.widened or not new.folders or not columns:
         spark.sql(f"DROP VIEW IF EXISTS `{database}`.`{entry}`")
         return
     folders = sorted(new.folders.values())
     files = f"{path}/{folders[0]}" if len(folders) == 1 else f"{path}/{{{','.join(folders)}}}"
-    columns = ", ".join(f"`{f.name}`" for f in new.schema if not f.name.startswith("_"))  # not the table's own
     spark.sql(
         f"CREATE OR REPLACE VIEW `{database}`.`{entry}` COMMENT {_quoted(comment)}"
         f" TBLPROPERTIES ({_quoted(OWNER)} = {_quoted(path)}) AS SELECT {columns} FROM parquet.`{files}`"
