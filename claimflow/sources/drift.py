@@ -44,6 +44,20 @@ def _fitting(kind: str) -> int:
     return sum(KINDS.values())
 
 
+def _fits(value: Column, kind: str) -> Column:
+    """Whether `kind_of` a value that is not null is a type whose texts fit `kind`."""
+    bit = _bit(kind)
+    if bit in (KINDS["int"], KINDS["bigint"]):
+        return value.try_cast("int" if bit == KINDS["int"] else "bigint").isNotNull()
+    if bit == KINDS["double"]:
+        return value.rlike(NUMBER)
+    if bit == KINDS["date"]:
+        return value.rlike(DAY + r"\s*$") & value.try_cast("date").isNotNull()
+    if bit == KINDS["timestamp"]:
+        return value.rlike(DAY) & value.try_cast("timestamp").isNotNull()
+    return F.lower(F.trim(value)).isin("true", "false")
+
+
 def common_type(bits: Column) -> Column:
     """The name of the least type that all types of a set of bits fit."""
     out = F.lit("string")
@@ -61,19 +75,19 @@ def type_drift(spark: SparkSession, src: str, stored: T.StructType) -> DataFrame
     """
     rows = spark.read.option("header", True).schema(all_strings(stored.fieldNames())).csv(src)
     place = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
-    checked = []
+    unfit = []
     for f in stored:
         kind = f.dataType.simpleString()
         if _bit(kind) != KINDS["string"]:
             value = F.col(f"`{f.name}`")
-            checked.append(F.when(value.isNotNull(), F.struct(
+            unfit.append(F.when(value.isNotNull() & ~_fits(value, kind), F.struct(
                 F.lit(f.name).alias("column_name"), F.lit(kind).alias("stored_type"), F.lit(_bit(kind)).alias("stored_bit"),
-                F.lit(_fitting(kind)).alias("fitting"), kind_of(value).alias("kind"), value.alias("value"),
+                value.alias("value"),
             )))
-    if not checked:
+    if not unfit:
         return spark.createDataFrame([], "file string, column_name string, stored_type string, seen_type string, bad_values long, first_bad_value string")
-    bad = F.filter(F.array_compact(F.array(*checked)), lambda c: c["kind"].bitwiseAND(F.bitwise_not(c["fitting"])) != 0)
-    values = rows.select(F.col("_metadata.file_path").alias("file"), place.alias("place"), F.inline(bad))
+    values = rows.select(F.col("_metadata.file_path").alias("file"), place.alias("place"), F.inline(F.array_compact(F.array(*unfit))))
+    values = values.withColumn("kind", kind_of(F.col("value")))  # of the few that are left
     found = values.groupBy("file", "column_name", "stored_type", "stored_bit").agg(
         F.bit_or("kind").alias("kinds"), F.count(F.lit(1)).alias("bad_values"),
         F.min(F.struct("place", "value")).alias("first"),

@@ -123,6 +123,9 @@ def test_types_and_their_least_common_type(spark):
         "2020-02-29T10:00:00Z": "timestamp", "True": "boolean", "": "string", "NaN": "string", "x": "string",
     }
     df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", drift.kind_of(F.col("t")).alias("kind"))
+    for kind in ("int", "bigint", "double", "decimal(20,0)", "date", "timestamp", "boolean"):
+        fits = df.select("t", (F.col("kind").bitwiseAND(F.lit(drift._fitting(kind))) != 0).alias("want"), drift._fits(F.col("t"), kind).alias("fits"))
+        assert fits.where("want <> fits").collect() == []
     named = {v: k for k, v in drift.KINDS.items()}
     assert {r.t: named[r.kind] for r in df.collect()} == texts
     joins = {
