@@ -29,6 +29,92 @@ def test_wrapper_accepts_its_streams(streams):
         assert matches(wrapper, s)
 
 
+def wrapper_of(pages):
+    wrapper = wrappers.stream_of(pages[0])
+    for p in pages[1:]:
+        wrapper = wrappers.merge(wrapper, wrappers.stream_of(p))
+    return wrapper
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(st.sampled_from("abc#"), max_size=9), min_size=1, max_size=4))
+def test_matcher_finds_every_slot(streams):
+    wrapper = wrappers.collapsed(list(streams[0]))
+    for s in streams[1:]:
+        wrapper = wrappers.merge(wrapper, wrappers.collapsed(list(s)))
+    matcher = wrappers.Matcher(wrapper)
+    assert len(matcher.group) == len(list(wrappers.slots(wrapper)))
+    for s in streams:
+        assert len(matcher.match(s)) == s.count("#")
+    for other in (["d"], ["a"] * 30 + ["d"]):
+        assert matcher.match(other) is None
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.lists(st.sampled_from("abcdefgh#"), max_size=40), min_size=2, max_size=3))
+def test_long_streams_are_cut(streams):
+    cells, wrappers.CELLS = wrappers.CELLS, 20
+    try:
+        wrapper = wrappers.collapsed(list(streams[0]))
+        for s in streams[1:]:
+            wrapper = wrappers.merge(wrapper, wrappers.collapsed(list(s)))
+    finally:
+        wrappers.CELLS = cells
+    assert all(wrappers.Matcher(wrapper).match(s) is not None for s in streams)
+
+
+def test_two_long_pages_in_bounded_memory():
+    import random
+    import tracemalloc
+
+    chance = random.Random(3)
+    pages = [[chance.choice(["p", "/p", "#", "div.a", "/div.a", "ul", "li", "h2"]) for _ in range(20_000)] for _ in range(2)]
+    streams = [wrappers.collapsed(p) for p in pages]
+    tracemalloc.start()
+    wrapper = wrappers.merge(*streams)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200 << 20
+    matcher = wrappers.Matcher(wrapper)
+    assert all(len(matcher.match(p)) == p.count("#") for p in pages)
+
+
+def story(i, n, extra=""):
+    """A page without article or main, with unnamed parts that are the same on all pages of its host."""
+    return (
+        f"<body><div class=top><ul><li>Home</li><li>News</li><li>About</li></ul></div><div class=a><p>We moved house.</p></div>"
+        f"<div class=b><h1>Title {i}</h1>{extra}<p>Text {i} goes.</p>{''.join(f'<p>More {i} {k}.</p>' for k in range(n))}"
+        f"<div class=c>Buy now</div></div><div class=z><p>All rights kept.</p></div></body>"
+    )
+
+
+def test_constant_slots_are_template(spark):
+    rows = [(i, f"http://a.org/{i}", story(i, i % 4, "<ul><li>x</li></ul>" if i == 2 else "")) for i in range(9)]
+    rows += [(100 + i, f"http://b.org/{i}", story(1, 2)) for i in range(5)]  # copies of one page: nothing tells template
+    rows += [(200 + i, f"http://c.org/{i}", f"<article><h1>T {i}</h1><div class=promoted-box>Buy</div><p>w {i}</p></article>") for i in range(4)]
+    rows += [(300 + i, f"http://d.org/{i}", f"<article><h1>Same</h1><p>w {i}</p></article>") for i in range(6)]
+    rows += [(400 + i, f"http://e.org/{i}", f"<main><p>w {i}</p></main><article>teaser {i}</article>") for i in range(2)]
+    got = {r.page_id: r.text for r in wrappers.extract_main_text(
+        spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in range(9):
+        lines = [f"Title {i}", *(["x"] if i == 2 else []), f"Text {i} goes.", *[f"More {i} {k}." for k in range(i % 4)]]
+        assert got[i] == "\n".join(lines)
+    assert all("Text 1 goes." in got[100 + i] and got[100 + i] == got[100] for i in range(5))
+    assert [got[200 + i] for i in range(4)] == [f"T {i}\nw {i}" for i in range(4)]
+    assert [got[300 + i] for i in range(6)] == [f"Same\nw {i}" for i in range(6)]  # one heading: pages may be copies
+    assert [got[400 + i] for i in range(2)] == [f"w {i}" for i in range(2)]
+
+
+def test_text_that_few_pages_share_stays(spark):
+    rows = [
+        (i, f"http://a.org/{i}", f"<article><h1>T {i}</h1><p>w {i}</p>{'<h2>Summary</h2><p>s</p>' if i < 4 else ''}</article>")
+        for i in range(12)
+    ]
+    got = {r.page_id: r.text for r in wrappers.extract_main_text(
+        spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == f"T {i}\nw {i}" + ("\nSummary\ns" if i < 4 else "") for i in range(12))
+
+
 def test_repeats_and_optionals():
     a = wrappers.stream_of("<div><h1>t</h1><p>a</p><p>b</p><p>c</p></div>")
     b = wrappers.stream_of("<div><h1>t</h1><div class=note>n</div><p>a</p></div>")
