@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from claimflow.llm.names import free_names
 from claimflow.llm.tokens import Words, portions, word_batches
 from claimflow.session import freeze
 
@@ -473,13 +474,14 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def remove_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`docs` with the lines gone from the text; every row and all other columns stay."""
+    """`docs` with the lines gone from the text; every row and all other columns stay, whatever their names."""
+    doc, hashed, removed = free_names(docs.columns, "_id", "_hash", "_removed")
     gone = removed_lines(docs, id_col, text_col).where(F.size("removed") > 0).select(
-        F.col("doc_id").alias("_id"), F.col("hash").alias("_hash"), F.col("removed").alias("_removed")
+        F.col("doc_id").alias(doc), F.col("hash").alias(hashed), F.col("removed").alias(removed)
     )
     text = F.col(text_col).cast("string")
     key = F.coalesce(F.xxhash64(text).bitwiseAND(F.lit(0x7FFFFFFF)), F.lit(0))
-    joined = docs.join(gone, F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (key == F.col("_hash")), "left")
-    kept = F.filter(F.split(text, "\n"), lambda _, i: ~F.array_contains("_removed", i))
-    cleaned = F.when(F.col("_removed").isNull(), text).otherwise(F.array_join(kept, "\n"))
+    joined = docs.join(gone, F.col(id_col).cast("long").eqNullSafe(F.col(doc)) & (key == F.col(hashed)), "left")
+    kept = F.filter(F.split(text, "\n"), lambda _, i: ~F.array_contains(removed, i))
+    cleaned = F.when(F.col(removed).isNull(), text).otherwise(F.array_join(kept, "\n"))
     return joined.select(*[cleaned.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])

@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from claimflow.llm.names import free_names
 from claimflow.llm.tokens import word_batches
 
 WORDS = r"[^\x20\x09-\x0D]+"
@@ -245,16 +246,17 @@ def mixed_documents(
 
     Words of blocks that follow each other keep the text between them; where blocks are left out, a line ends. n_chars,
     if there is one, is counted anew. Documents of which nothing is taken have no row; equal rows of id and text share
-    their other columns.
+    their other columns, whose names may be any.
     """
+    doc, hashed, listed, keyed = free_names(docs.columns, "_id", "_hash", "_spans", "_key")
     mixed = mix(docs, weight, most, block_words, shards, seed).where(F.col("pass").isNotNull())
     spans = mixed.groupBy("doc_id", "text_hash", "source_number", "bucket", "nth", "pass").agg(
-        F.array_sort(F.collect_list(F.struct("from_word", "n_words"))).alias("_spans")
-    ).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "_spans")
+        F.array_sort(F.collect_list(F.struct("from_word", "n_words"))).alias(listed)
+    ).select(F.col("doc_id").alias(doc), F.col("text_hash").alias(hashed), listed)
     key = F.xxhash64("text")
-    known = docs.withColumn("_key", key).dropDuplicates(["doc_id", "_key"])
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_hash"))
-    joined = known.join(spans, same).select(*[F.col(f"`{c}`") for c in docs.columns], "_spans")
+    known = docs.withColumn(keyed, key).dropDuplicates(["doc_id", keyed])
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(doc)) & (F.col(keyed) == F.col(hashed))
+    joined = known.join(spans, same).select(*[F.col(f"`{c}`") for c in docs.columns], listed)
     text_at = docs.columns.index("text")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -26,6 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from claimflow.llm.names import free_names
 from claimflow.llm.tokens import shingle_hashes, word_batches
 from claimflow.session import freeze
 
@@ -338,16 +339,17 @@ def grouped_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that stay when one of each group does: that with the least id, null least, and of several the one
     of least hash of the text. Of rows that are equal in id and text any one stays. Texts without words are in no group
-    and all stay. All columns are kept."""
+    and all stay. All columns are kept, whatever their names."""
+    doc, hashed, n = free_names(docs.columns, "_id", "_hash", "_n")
     links = grouped_documents(docs, id_col, text_col)
     counts = links.groupBy("doc_id", "hash", "label").agg(F.count("*").alias("n"))
     groups = counts.where("label IS NOT NULL").groupBy("label").agg(F.min(F.struct("doc_id", "hash", "n")).alias("d"))
     alone = links.where("label IS NULL").select("doc_id", "hash", F.lit(1).cast("long").alias("n")).distinct()
     stay = groups.select("d.doc_id", "d.hash", "d.n").union(alone)
-    stay = freeze(stay.toDF("_id", "_hash", "_n"), "one-per-group")
-    same = F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (
-        F.xxhash64(F.col(text_col).cast("string")) == F.col("_hash")
+    stay = freeze(stay.toDF(doc, hashed, n), "one-per-group")
+    same = F.col(id_col).cast("long").eqNullSafe(F.col(doc)) & (
+        F.xxhash64(F.col(text_col).cast("string")) == F.col(hashed)
     )
-    once = docs.join(stay.where("_n = 1"), same, "left_semi")
-    several = docs.join(stay.where("_n > 1"), same).dropDuplicates(["_id", "_hash"])
+    once = docs.join(stay.where(F.col(n) == 1), same, "left_semi")
+    several = docs.join(stay.where(F.col(n) > 1), same).dropDuplicates([doc, hashed])
     return once.union(several.select(*[F.col(f"`{c}`") for c in docs.columns]))

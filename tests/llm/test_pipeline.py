@@ -95,3 +95,17 @@ def test_mixed_documents_edge_rows(spark):
 def test_registered(spark):
     rows = queries()["pipeline"](spark, "/root/testdata/sf0.001")
     assert rows.count() > 0 and np.isin(["doc_id", "sequence_id"], rows.columns).all()
+
+
+def test_columns_of_any_name(spark):
+    """Helper columns of the stages do not meet columns of the input."""
+    names = ["_id", "_hash", "_removed", "_n", "_spans", "_key", "ROW", "_text", "_words", "label", "gone", "block", "start", "size"]
+    text = "\n".join(f"Line {i} holds plain words number {i} and also {i * 7} more." for i in range(30))
+    rows = [(i, text if i < 3 else text.replace("plain", f"p{i}"), "en", "s", len(text), *range(len(names))) for i in range(6)]
+    kinds = ", ".join(f"`{n}` int" for n in names)
+    docs = spark.createDataFrame(rows, f"doc_id long, text string, lang string, source string, n_chars long, {kinds}")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, docs, SF)
+        assert got.columns == docs.columns, name
+        assert all(tuple(r)[5:] == tuple(range(len(names))) for r in got.collect()), name
+    assert corpus_pipeline.near_duplicates(spark, docs, SF).count() == 4
