@@ -5,8 +5,9 @@ into blocks of `block_words`. The mix is a list of slots, dealt to output shards
 
 1. Targets: each source's share of all words by its weight, at most `most` times its own words; what that leaves over
    goes to the others by weight until none is above.
-2. Slots of a source: its target over the mean size of its blocks. Shards draw how many of their slots each source
-   gets, as multinomial counts given those totals (so no source drifts from its target).
+2. Slots of a source: as many as its blocks need to hold its target, in whole words; the last one takes a part of its
+   block. Shards draw how many of their slots each source gets, as multinomial counts given those totals, so that every
+   source meets its target to the word.
 3. A source's slots are numbered over the shards. Slot j takes block perm(j mod blocks) of pass j div blocks, by
    another keyed permutation in each pass. So every block is taken once in each full pass, and at most `most` times.
 4. Slots meet the pieces of documents that make up their block in one join on source and block number.
@@ -32,6 +33,8 @@ from claimflow.llm.tokens import word_batches
 WORDS = r"[^\x20\x09-\x0D]+"
 BUCKET_DOCS = 4096  # documents that one window orders
 CHUNK_SLOTS = 1 << 16  # slots that one row of the plan stands for
+MOST_BROADCAST = 8 << 20  # bytes of the table of sources beyond which it is joined by a shuffle
+SAMPLER_ENDS = 10**9  # slots from which on the library's sampler is not defined
 
 
 @dataclass(frozen=True)
@@ -69,18 +72,24 @@ def capped_targets(sizes: list[int], weights: list[float], most: float) -> list[
     return targets
 
 
-def permuted(index: np.ndarray, n: int, key: int) -> np.ndarray:
-    """A keyed permutation of 0..n-1 applied to `index`: four Feistel rounds, walked until the value is below n."""
+def permuted(index: np.ndarray, n: int, key: int, back: bool = False) -> np.ndarray:
+    """A keyed permutation of 0..n-1 applied to `index`: four Feistel rounds, walked until the value is below n.
+
+    `back` undoes it.
+    """
     half = max(1, (max(n - 1, 1).bit_length() + 1) // 2)
     mask = np.uint64((1 << half) - 1)
 
+    def mixed(x: np.ndarray, r: int) -> np.ndarray:
+        f = x + np.uint64((key + r * 0x9E3779B97F4A7C15) % (1 << 64))
+        f = (f ^ (f >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        f = (f ^ (f >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        return (f ^ (f >> np.uint64(31))) & mask
+
     def rounds(x: np.ndarray) -> np.ndarray:
         left, right = x >> np.uint64(half), x & mask
-        for r in range(4):
-            f = right + np.uint64((key + r * 0x9E3779B97F4A7C15) % (1 << 64))
-            f = (f ^ (f >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-            f = (f ^ (f >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-            left, right = right, left ^ ((f ^ (f >> np.uint64(31))) & mask)
+        for r in (3, 2, 1, 0) if back else (0, 1, 2, 3):
+            left, right = (right ^ mixed(left, r), left) if back else (right, left ^ mixed(right, r))
         return (left << np.uint64(half)) | right
 
     out = rounds(index.astype(np.uint64))
@@ -110,11 +119,19 @@ def drawn(rng: np.random.Generator, good: int, bad: int, n: int) -> int:
         return 0
     if not bad:
         return n
-    if good + bad < 10**9:
+    if good + bad < SAMPLER_ENDS:
         return int(rng.hypergeometric(good, bad, n))
-    mean = n * good / (good + bad)  # so many slots follow the normal law
-    deviation = (mean * (bad / (good + bad)) * (good + bad - n) / (good + bad - 1)) ** 0.5
-    return int(min(good, n, max(0, n - bad, round(rng.normal(mean, deviation)))))
+    # The same law by its ratios from the most likely count outwards; beyond 12 deviations is less than a double can tell.
+    total = good + bad
+    likely = (n + 1) * (good + 1) // (total + 2)
+    deviation = (n * (good / total) * (bad / total) * (total - n) / (total - 1)) ** 0.5
+    reach = int(12 * deviation) + 50
+    low, high = max(0, n - bad, likely - reach), min(good, n, likely + reach)
+    k = np.arange(low, high, dtype=np.float64)
+    logs = np.cumsum(np.log((good - k) * (n - k)) - np.log((k + 1) * (bad - n + k + 1)))
+    logs = np.concatenate([[0.0], logs])
+    reached = np.cumsum(np.exp(logs - logs.max()))
+    return low + int(np.searchsorted(reached, rng.random() * reached[-1], side="right"))
 
 
 def sources_of(sized: DataFrame, weight: Callable[[int, str | None], float], most: float) -> list[Source]:
@@ -141,7 +158,9 @@ def streams(sized: DataFrame, sources: list[Source], seed: int) -> DataFrame:
     """
     spark = sized.sparkSession
     known = source_table(spark, sources)
-    keyed = sized.join(F.broadcast(known), F.col("docs_source").eqNullSafe(known["source"])).drop("docs_source")
+    if sum(64 + len((s.name or "").encode()) for s in sources) <= MOST_BROADCAST:
+        known = F.broadcast(known)
+    keyed = sized.join(known, F.col("docs_source").eqNullSafe(known["source"])).drop("docs_source")
     keyed = keyed.withColumn("key", F.xxhash64("doc_id", "text_hash", F.lit(seed)))
     keyed = keyed.withColumn("bucket", F.pmod("key", F.col("buckets"))).drop("buckets")
     bucket = Window.partitionBy("source_number", "bucket").orderBy("key", "doc_id")
@@ -173,16 +192,41 @@ def block_pieces(streamed: DataFrame, block_words: int) -> DataFrame:
     return cut.withColumns({"from_word": low - start, "n_words": high - low})
 
 
+def pass_key(seed: int, source_number: int, turn: int) -> int:
+    return (seed * 1_000_003 + source_number * 8191 + turn * 127) * 0x9E3779B97F4A7C15 % (1 << 64)
+
+
+def slots_needed(source: Source, block_words: int, seed: int, most: float) -> tuple[int, int]:
+    """How many slots hold the source's target in whole words, and how many words the last of them takes.
+
+    All blocks have `block_words` but the source's last, so only its place in the last pass need be known.
+    """
+    if not source.size:
+        return 0, 0
+    blocks = -(-source.size // block_words)
+    full, rest = divmod(min(round(source.target), int(most * source.size)), source.size)
+    short = source.size - (blocks - 1) * block_words  # words of the last block
+    if not rest:
+        # the last slot takes its whole block, whichever that is
+        return full * blocks, block_words
+    place = int(permuted(np.array([blocks - 1]), blocks, pass_key(seed, source.number, full), back=True)[0])
+    n = -(-rest // block_words)
+    held = n * block_words - (block_words - short if place < n else 0)
+    if held < rest:
+        n, held = n + 1, held + block_words
+    size = short if place == n - 1 else block_words
+    return full * blocks + n, size - (held - rest)
+
+
 def slots(spark: SparkSession, sources: list[Source], block_words: int, shards: int, seed: int, most: float) -> DataFrame:
-    """One row per slot: (shard, source_number, pass, block)."""
+    """One row per slot: (shard, source_number, pass, block, most_words)."""
     blocks = [-(-s.size // block_words) for s in sources]
-    totals = [
-        min(round(s.target * b / s.size), int(most * b)) if s.size else 0 for s, b in zip(sources, blocks)
-    ]
+    needed = [slots_needed(s, block_words, seed, most) for s in sources]
+    totals = [n for n, _ in needed]
     draws = shard_draws(totals, shards, seed)
     firsts = np.cumsum(draws, axis=0) - draws
     plan = [
-        (shard, s.number, blocks[i], int(firsts[shard, i]) + at, min(CHUNK_SLOTS, int(draws[shard, i]) - at))
+        (shard, s.number, blocks[i], int(firsts[shard, i]) + at, min(CHUNK_SLOTS, int(draws[shard, i]) - at), *needed[i])
         for shard in range(shards)
         for i, s in enumerate(sources)
         for at in range(0, int(draws[shard, i]), CHUNK_SLOTS)
@@ -196,14 +240,16 @@ def slots(spark: SparkSession, sources: list[Source], block_words: int, shards:
                 block = np.empty(len(j), np.int64)
                 for t in np.unique(turn):
                     here = turn == t
-                    key = (seed * 1_000_003 + row.source_number * 8191 + int(t) * 127) * 0x9E3779B97F4A7C15 % (1 << 64)
-                    block[here] = permuted(index[here], row.blocks, key)
-                yield pd.DataFrame(
-                    {"shard": row.shard, "source_number": row.source_number, "pass": turn, "block": block}
-                )
-
-    rows = spark.createDataFrame(plan, "shard int, source_number int, blocks long, first long, n long")
-    return rows.repartition("shard", "first").mapInPandas(fill, "shard int, source_number int, pass long, block long")
+                    block[here] = permuted(index[here], row.blocks, pass_key(seed, row.source_number, int(t)))
+                words = np.where(j == row.total - 1, row.cut, block_words)
+                yield pd.DataFrame({
+                    "shard": row.shard, "source_number": row.source_number, "pass": turn, "block": block, "most_words": words,
+                })
+
+    rows = spark.createDataFrame(plan, "shard int, source_number int, blocks long, first long, n long, total long, cut long")
+    return rows.repartition("shard", "first").mapInPandas(
+        fill, "shard int, source_number int, pass long, block long, most_words long"
+    )
 
 
 def mix(
@@ -215,7 +261,7 @@ def mix(
     Needs doc_id, text and source; other columns are not read. One row per document, block and slot that takes it:
     (doc_id, text_hash, size, source, source_number, source_size, target, bucket, nth, block, from_word, n_words, shard, pass).
     (source_number, bucket, nth) tells rows of the input apart, also repeated ones. A piece that no slot takes has null
-    shard and pass; a document without words (null or blank text) has one row with null block. A null source is a
+    shard and pass, and so has one behind the words that the last slot of its source takes of its block; a document without words (null or blank text) has one row with null block. A null source is a
     source like any other. An empty table gives no rows.
     """
     spark = docs.sparkSession
@@ -227,7 +273,13 @@ def mix(
     pieces = block_pieces(streams(sized, sources, seed), block_words)
     taken = slots(spark, sources, block_words, shards, seed, most)
     # The planner takes the slots for as small as the plan they are filled from; they grow with the input.
-    return pieces.join(taken.hint("merge"), ["source_number", "block"], "left")
+    joined = pieces.join(taken.hint("merge"), ["source_number", "block"], "left")
+    before = F.col("start") + F.col("from_word") - F.col("block") * block_words  # words of the block before the piece
+    here = F.when(F.col("pass").isNotNull(), F.least("n_words", F.col("most_words") - before))
+    return joined.withColumns({
+        "n_words": F.when(here > 0, here).otherwise(F.col("n_words")),
+        "shard": F.when(here > 0, F.col("shard")), "pass": F.when(here > 0, F.col("pass")),
+    }).drop("most_words")
 
 
 def taken_words(mixed: DataFrame) -> DataFrame:
