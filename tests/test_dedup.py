@@ -1,6 +1,7 @@
 from __future__ import annotations
 
-from claimflow.operators.dedup import dedup_claims, dedup_first
+from claimflow.operators import dedup
+from claimflow.operators.dedup import dedup_claims, dedup_first, dedup_wide
 from claimflow.operators.scd import scd1_upsert
 from tests.conftest import plan_of
 
@@ -31,3 +32,27 @@ def test_scd1_newest_wins_and_ties_go_to_the_greater_id(spark):
     new = spark.createDataFrame([("a", "Paris", 2, "3"), ("b", "Bonn", 5, "4"), ("c", "Lima", 1, "5"), ("d", "Kiel", 0, "1")], schema)
     got = {r.k: r.city for r in scd1_upsert(old, new, "k", ["at", "id"]).collect()}
     assert got == {"a": "Paris", "b": "Bonn", "c": "Lima", "d": "Kiel"}
+
+
+def _wide_rows(spark):
+    rows = [(None if i % 500 == 7 else f"k{i % 900}", str(i % 3), i % 11) for i in range(1000)]
+    return spark.createDataFrame(rows, "k string, a string, b int").repartition(4)
+
+
+def test_wide_rows_keep_the_least_of_each_key(spark, monkeypatch):
+    df = _wide_rows(spark)
+    wanted = sorted(map(tuple, dedup_first(df, ["k"], ["a", "b"]).collect()), key=str)
+    for bits in (dedup.MOST_BITS, 1 << 15, 8):  # with 8 bits most keys are marked by chance
+        monkeypatch.setattr(dedup, "MOST_BITS", bits)
+        assert sorted(map(tuple, dedup_wide(df, ["k"], ["a", "b"]).collect()), key=str) == wanted
+
+
+def test_claims_of_their_own_id_are_not_sent(spark, claim):
+    """Before, every claim was sorted and shuffled with all its columns."""
+    rows = [{"TRANSACTION_ID": f"t{i}", "CLAIM_AMOUNT": str(i)} for i in range(20)]
+    assert "Exchange" not in plan_of(dedup_claims(claim(*rows)))
+    once = dedup_claims(claim(*rows, {"TRANSACTION_ID": "t3", "CLAIM_AMOUNT": "1"}, {}, {}))
+    assert once.count() == 21
+    assert once.where("TRANSACTION_ID = 't3'").first().CLAIM_AMOUNT == "1"
+    plan = plan_of(once)
+    assert "WindowGroupLimit" in plan and "Union" in plan

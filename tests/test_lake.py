@@ -8,9 +8,11 @@ import tempfile
 import pytest
 
 from claimflow import fixtures as fx
+from claimflow import session
 from claimflow.plans import end_to_end
 from claimflow.registry import QUERIES
 from claimflow.session import SHUFFLE_TARGET_BYTES, shuffle_partitions_for
+from claimflow.sources.files import list_names
 from claimflow.sources.tables import publish, read_table, read_table_stream, run_sql
 from tests.conftest import plan_of
 
@@ -113,3 +115,39 @@ def test_shuffle_sizing():
 def test_repository_holds_no_data():
     here = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     assert not [f for _, _, files in os.walk(here) for f in files if f.endswith((".parquet", ".csv"))]
+
+
+def test_sizes_follow_the_rows_not_the_stored_bytes(spark, monkeypatch):
+    """Before, 1 GB of stored line items, some 35 GB of claims in a sort, asked for 2 partitions and splits of 128 MB."""
+    first = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = spark.conf.get(session.MAX_SPLIT)
+    monkeypatch.setattr(session, "stored_bytes", lambda *_: 1 << 30)
+    try:
+        spark.conf.set(session.MAX_SPLIT, "128m")
+        assert session.fit_shuffle(spark, "x") == 64
+        assert spark.conf.get(first) == "64"
+        assert session.split_bytes(spark) == session.SPLIT_BYTES
+        with session.whole_splits(spark):
+            assert session.split_bytes(spark) == 2 * session.SPLIT_BYTES
+        assert session.split_bytes(spark) == session.SPLIT_BYTES
+        spark.conf.set(session.MAX_SPLIT, "16m")  # a finer choice stays
+        session.fit_shuffle(spark, "x")
+        assert session.split_bytes(spark) == 16 << 20
+    finally:
+        spark.conf.unset(first)
+        spark.conf.set(session.MAX_SPLIT, before)
+
+
+def test_a_stream_over_claims_has_state_partitions_for_their_rows(monkeypatch):
+    monkeypatch.setattr(fx, "stored_bytes", lambda *_: 4 << 30)
+    assert fx.state_size(None, "x") == 256  # 8 before
+
+
+def test_landed_files_are_compressed(spark, tmp_path):
+    rows = spark.createDataFrame([(str(i % 7), None if i % 3 else "a,b") for i in range(100)], "a string, b string")
+    fx.land(rows, f"{tmp_path}/in")
+    fx.land(rows, f"{tmp_path}/in")
+    names = [n for n in list_names(spark, f"{tmp_path}/in") if not n.startswith("_")]
+    assert names and all(n.endswith(".csv.gz") for n in names)
+    back = spark.read.schema(rows.schema).option("header", True).csv(f"{tmp_path}/in")
+    assert sorted(map(tuple, back.collect()), key=str) == sorted(map(tuple, rows.unionAll(rows).collect()), key=str)
