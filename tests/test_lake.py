@@ -151,3 +151,18 @@ def test_landed_files_are_compressed(spark, tmp_path):
     assert names and all(n.endswith(".csv.gz") for n in names)
     back = spark.read.schema(rows.schema).option("header", True).csv(f"{tmp_path}/in")
     assert sorted(map(tuple, back.collect()), key=str) == sorted(map(tuple, rows.unionAll(rows).collect()), key=str)
+
+
+def test_a_file_written_as_it_comes_can_be_shared(spark):
+    """A micro-batch of one file is read by several tasks, as Spark cuts files at row groups."""
+    import pyarrow.parquet as pq
+
+    rows = spark.range(60_000, numPartitions=1).selectExpr("sha2(cast(id AS string), 512) AS a", "sha2(cast(-id AS string), 512) AS b")
+    kept = spark.conf.get(session.MAX_SPLIT)
+    try:
+        layer = fx._layer(spark, SF_DIR, "test_row_groups", lambda: rows, as_it_comes=True)
+    finally:
+        spark.conf.set(session.MAX_SPLIT, kept)
+    (path,) = layer.inputFiles()
+    file = pq.ParquetFile(path.removeprefix("file://"))
+    assert file.metadata.num_rows == 60_000 and file.num_row_groups > 1
