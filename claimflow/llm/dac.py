@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from claimflow.llm.tokens import Encoder, in_portions
+from claimflow.llm.tokens import PORTION, Encoder, in_portions
 
 MAGIC, WIDTH, RANK_EVERY = b"DAC1", 8, 512
 
@@ -131,7 +131,7 @@ def write_dac(
         def coded():
             for batch in batches:
                 rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
-                for some in in_portions(rows, lambda r: len(r[1] or ""), 4 << 20):
+                for some in in_portions(rows, lambda r: len(r[1] or ""), PORTION):
                     for (doc, _), ids in zip(some, encoder.encode([t for _, t in some])):
                         yield doc, ids + end
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from claimflow.llm.tokens import PIECES, Encoder, in_portions
+from claimflow.llm.tokens import PIECES, PORTION, Encoder, in_portions
 from claimflow.session import freeze
 
 RUN = "length int, low long, high long, per_sequence long, sequence long, offset int"
@@ -121,7 +121,7 @@ def pieces_of(
         end = end_id.to_bytes(4, "little")
         for batch in batches:
             rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
-            for some in in_portions(rows, lambda r: len(r[1] or ""), 4 << 20):
+            for some in in_portions(rows, lambda r: len(r[1] or ""), PORTION):
                 out = []
                 for (doc, _), ids in zip(some, encoder.encode([t for _, t in some])):
                     ids += end

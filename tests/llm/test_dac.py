@@ -38,6 +38,34 @@ def test_every_letter_before_every_ascii_sign(name):
     assert not wrong, wrong[:20]
 
 
+@pytest.mark.parametrize("name", FILES)
+def test_words_by_the_model_alone(name):
+    """New words skip the library's steps before the model, which leave them as they are; texts beyond Latin too."""
+    encoder = Encoder(public_tokenizers.path(name))
+    assert encoder.word is not None
+    letters = [chr(c) for c in range(0x41, 0x250) if chr(c).isalpha()]
+    texts = [f"{a}b {b}{a} {a}{b}{end}" for a, b in zip(letters, letters[7:]) for end in ("", " 字", " don't", ", 12")]
+    want = encoder.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+    assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts)] == [w.ids for w in want]
+
+
+@pytest.mark.parametrize("name", FILES)
+def test_memory_of_pieces_is_bounded_and_keeps_the_first(name):
+    encoder = Encoder(public_tokenizers.path(name), most_pieces=100)
+    early = [f" early{i}" for i in range(40)]
+    encoder.encode(early)
+    for k in range(30):
+        encoder.encode([f" w{k}x{i} " + "long" * 20 for i in range(50)])
+        assert len(encoder.ids) <= 100 + 200
+    encoder._forget()
+    assert len(encoder.number) <= 50
+    met = len(encoder.ids)
+    encoder.encode(early)
+    assert len(encoder.ids) - met < len(early)  # some are remembered
+    want = encoder.tokenizer.encode_batch_fast(early, add_special_tokens=False)
+    assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(early)] == [w.ids for w in want]
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.lists(st.one_of(st.integers(0, 300), st.integers(0, 2**32 - 1)), max_size=900), max_size=4))
 def test_image_round_trip_and_random_access(docs):
